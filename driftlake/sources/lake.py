@@ -88,7 +88,13 @@ class Lake(Mapping):
         for spec in TABLES.values():
             self.ensure_table(spec)
 
+    def is_streamed(self, name: str) -> bool:
+        """Whether a stream sink keeps the table; its log decides which files count."""
+        return self._exists(os.path.join(self.path(name), "_spark_metadata"))
+
     def append(self, spec: TableSpec, df: DataFrame, files_per_day: int | None = None) -> None:
+        if self.is_streamed(spec.name):
+            raise ValueError(f"{spec.name} is written by a stream; batch files would not be read")
         rows = df.select(*spec.schema.names)
         laid_out(rows, spec, files_per_day).write.mode("append").partitionBy(*spec.partitions).parquet(
             self.path(spec.name)
@@ -110,7 +116,23 @@ class Lake(Mapping):
         return gone
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name].stored_schema).parquet(self.path(name))
+        schema = TABLES[name].stored_schema
+        return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
+
+    def publish_days(
+        self, spec: TableSpec, target: "Lake", first_day: str, last_day: str, files_per_day: int | None = None
+    ) -> None:
+        """Copy whole days to another lake in few, sorted files.
+
+        The days' partitions are replaced there, so publishing a day again, with rows that
+        came late, leaves no duplicates.  The way to compact a table a stream writes to.
+        """
+        target.ensure_table(spec)
+        days = F.col(spec.date_column).between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))
+        rows = self.read(spec.name).filter(days).drop(spec.date_column)
+        laid_out(rows, spec, files_per_day).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(*spec.partitions).parquet(target.path(spec.name))
 
     def stream(self, name: str, max_files: int | None = None, max_bytes: str | None = None) -> DataFrame:
         """The table as a stream of newly added files."""
