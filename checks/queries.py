@@ -35,7 +35,7 @@ GIVEN = (
 
 def query(name: str):
     def register(build: Callable[[FixtureTables], DataFrame]):
-        REGISTRY[name] = lambda spark, folder: build(FixtureTables(spark, folder))
+        REGISTRY[name] = lambda spark, folder: build(FixtureTables.of(spark, folder))
         return build
 
     return register
@@ -164,10 +164,14 @@ def _(tables):
 
 @query("core_facet_offsets")
 def _(tables):
+    """Every facet feature with the place of the text it marks."""
     features = tables["stg_posts"].select(
-        "did", "time_us", F.inline(records.typed_features(F.col("facets_json")))
+        "did", "time_us", F.explode(records.typed_features(F.col("facets_json"))).alias("feature")
+    )
+    return features.select(
+        "did", "time_us", "feature.byte_start", "feature.byte_end", "feature.feature_type", "feature.tag",
+        F.col("feature.did").alias("mentioned_did"), "feature.uri",
     )
-    return features
 
 
 # -- scoring ---------------------------------------------------------------------------
@@ -518,12 +522,12 @@ for _stage in telemetry.STAGES:
 
     @query(f"telemetry_latency_{_stage}")
     def _(tables, stage=_stage):
-        return telemetry.stage_latency(tables, stage).withColumn("value_num", F.round("value_num", 6))
+        return telemetry.stage_latency(tables, stage).withColumn("value_num", F.round("value_num", 3))
 
 
 @query("telemetry_sentiment_lag")
 def _(tables):
-    return telemetry.sentiment_lag(tables).withColumn("value_num", F.round("value_num", 6))
+    return telemetry.sentiment_lag(tables).withColumn("value_num", F.round("value_num", 3))
 
 
 @query("telemetry_sentiment_backlog")
@@ -626,8 +630,10 @@ def _(tables):
 
 @query("telemetry_rolling_mean")
 def _(tables):
+    """The mean as its sum in cents and its count, which compare exactly."""
     rolled = telemetry.rolling_mean(tables.check_history(), low=10.0, high=30.0)
-    return rolled.withColumn("rolling_mean", F.round("rolling_mean", 6))
+    cents = F.round(F.col("rolling_mean") * F.col("samples") * 100).cast("bigint")
+    return rolled.select("check_name", "ts", cents.alias("rolling_cents"), "samples", "status")
 
 
 @query("telemetry_action_limit")

@@ -21,6 +21,7 @@ SETTINGS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.scheduler.mode": "FAIR",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
