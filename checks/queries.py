@@ -188,8 +188,8 @@ def _(tables):
 
 @query("score_documents")
 def _(tables):
-    scores = text.lexicon_scores(F.col("text"), POSITIVE, NEGATIVE)
-    scored = tables.given("documents").select("doc_id", scores.alias("s"))
+    documents = tables.given("documents").select("doc_id", "text")
+    scored = text.with_lexicon_scores(documents, "text", POSITIVE, NEGATIVE, "s")
     return scored.select(
         "doc_id",
         F.col("s.positive").alias("positive"),

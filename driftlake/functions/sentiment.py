@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # What the scored text shows in place of handles and links.  White space
@@ -22,33 +22,29 @@ NEGATIVE_WORDS = ("bad", "hate", "sad", "worst", "awful", "angry", "fail", "wron
 
 
 def prepare_text(text: Column) -> Column:
-    """The text a scorer sees: no handles, no links, never NULL."""
-    handles = F.regexp_replace(F.coalesce(text, F.lit("")), MENTION_TEXT, MENTION_MARK)
-    return F.regexp_replace(handles, URL_TEXT, URL_MARK)
+    """The text a scorer sees: no handles, no links, never NULL.
 
+    A plain search comes before each pattern, as few texts hold either.
+    """
+    whole = F.coalesce(text, F.lit(""))
+    handles = F.when(whole.contains("@"), F.regexp_replace(whole, MENTION_TEXT, MENTION_MARK)).otherwise(whole)
+    linked = handles.contains("http://") | handles.contains("https://")
+    return F.when(linked, F.regexp_replace(handles, URL_TEXT, URL_MARK)).otherwise(handles)
 
-def lexicon_counts(text: Column, positive: Sequence[str], negative: Sequence[str]) -> tuple[Column, Column]:
-    """How many words of each list the whole text holds."""
-    lowered = F.lower(text)
-
-    def occurrences(words: Sequence[str]) -> Column:
-        pattern = r"(?<![a-z])(?:" + "|".join(words) + r")(?![a-z])"
-        return F.regexp_count(lowered, F.lit(pattern))
 
-    return occurrences(positive), occurrences(negative)
+def lexicon_lead(text: Column, positive: Sequence[str], negative: Sequence[str]) -> Column:
+    """Positive minus negative words of the whole text, found in one pass over it."""
+    words = "|".join([*positive, *negative])
+    found = F.regexp_extract_all(F.lower(text), F.lit(rf"(?<![a-z])({words})(?![a-z])"), F.lit(1))
+    hits = F.filter(found, lambda word: word.isin(list(positive)))
+    return F.size(hits) * F.lit(2) - F.size(found)
 
 
-def lexicon_scores(
-    text: Column,
-    positive: Sequence[str] = POSITIVE_WORDS,
-    negative: Sequence[str] = NEGATIVE_WORDS,
-) -> Column:
+def lead_scores(lead: Column) -> Column:
     """Three scores that sum to one, as ``struct<positive, negative, neutral>``.
 
     The larger count pulls its score towards one; equal counts leave neutral on top.
     """
-    more, less = lexicon_counts(prepare_text(text), positive, negative)
-    lead = more - less
     whole = F.abs(lead) + F.lit(2.0)
     return F.struct(
         ((F.greatest(lead, F.lit(0)) + F.lit(0.5)) / whole).alias("positive"),
@@ -57,6 +53,19 @@ def lexicon_scores(
     )
 
 
+def with_lexicon_scores(
+    df: DataFrame,
+    text: str = "text",
+    positive: Sequence[str] = POSITIVE_WORDS,
+    negative: Sequence[str] = NEGATIVE_WORDS,
+    name: str = "_scores",
+) -> DataFrame:
+    """Add the scores of a text column, step by step so that each step is computed once."""
+    prepared = df.withColumn("_prepared", prepare_text(F.col(text)))
+    led = prepared.withColumn("_lead", lexicon_lead(F.col("_prepared"), positive, negative))
+    return led.withColumn(name, lead_scores(F.col("_lead"))).drop("_prepared", "_lead")
+
+
 def top_label(scores: Column) -> Column:
     """Name of the highest score; on a tie the first of positive, negative, neutral."""
     best = F.greatest(*[scores[name] for name in LABELS])

@@ -23,12 +23,10 @@ def score_posts(
     negative: Sequence[str] = sentiment.NEGATIVE_WORDS,
 ) -> DataFrame:
     """Lexicon scores for whole texts, as plain column expressions."""
-    scored = core_posts.select(
-        *PASSED_THROUGH,
-        sentiment.lexicon_scores(F.col("text"), positive, negative).alias("_scores"),
-        (F.current_timestamp() if stamp is None else stamp).alias("ingested_at"),
+    posts = core_posts.select(
+        *PASSED_THROUGH, (F.current_timestamp() if stamp is None else stamp).alias("ingested_at")
     )
-    return shape_scores(scored)
+    return shape_scores(sentiment.with_lexicon_scores(posts, "text", positive, negative))
 
 
 def shape_scores(scored: DataFrame) -> DataFrame:
