@@ -16,14 +16,23 @@ from pyspark.sql import functions as F
 from driftlake.session import settle
 
 
-def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position") -> DataFrame:
+def with_position(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    name: str = "position",
+    partitions: int | None = None,
+) -> DataFrame:
     """Number each key's rows from 1 in the given order, which must have no ties.
 
     The table is range-partitioned by key and order, so a large key spreads over many
     partitions.  A row's number is its place in its partition plus the rows of its key in
     the partitions before.  Those per-partition counts are one row per key and partition.
+    Without ``partitions`` AQE sizes them by bytes.
     """
-    ranged = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    bounds = [*keys, *order]
+    ranged = df.repartitionByRange(partitions, *bounds) if partitions else df.repartitionByRange(*bounds)
+    ranged = ranged.sortWithinPartitions(*bounds)
     # Partition ids and row numbers must not change between the two uses below.
     blocks = settle(
         ranged.withColumn("_block", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id())

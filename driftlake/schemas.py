@@ -53,10 +53,21 @@ class TableSpec:
     def partitions(self) -> tuple[str, ...]:
         return (self.date_column, *self.extra_partitions)
 
+    @property
+    def columns(self) -> list[str]:
+        """What a reader sees: the table's columns, then the derived day."""
+        return [*self.schema.names, self.date_column]
+
     @property
     def stored_schema(self) -> T.StructType:
-        """The schema on disk: the table's columns plus the derived day."""
-        return T.StructType([*self.schema.fields, T.StructField(self.date_column, T.DateType())])
+        """The schema on disk: partition columns come last, in the order of the folders.
+
+        A stream fixes its column order when it starts, maybe before the first folder is
+        there, so the declared order has to be the one the folders will give.
+        """
+        data = [field for field in self.schema.fields if field.name not in self.extra_partitions]
+        extra = [self.schema[name] for name in self.extra_partitions]
+        return T.StructType([*data, T.StructField(self.date_column, T.DateType()), *extra])
 
 
 def date_column(time_column: str) -> str:

@@ -116,8 +116,8 @@ class Lake(Mapping):
         return gone
 
     def read(self, name: str) -> DataFrame:
-        schema = TABLES[name].stored_schema
-        return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
+        spec = TABLES[name]
+        return self.spark.read.schema(spec.stored_schema).parquet(self.path(name)).select(*spec.columns)
 
     def publish_days(
         self, spec: TableSpec, target: "Lake", first_day: str, last_day: str, files_per_day: int | None = None
@@ -136,12 +136,13 @@ class Lake(Mapping):
 
     def stream(self, name: str, max_files: int | None = None, max_bytes: str | None = None) -> DataFrame:
         """The table as a stream of newly added files."""
-        reader = self.spark.readStream.schema(TABLES[name].stored_schema)
+        spec = TABLES[name]
+        reader = self.spark.readStream.schema(spec.stored_schema)
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
         if max_bytes:
             reader = reader.option("maxBytesPerTrigger", max_bytes)
-        return reader.parquet(self.path(name))
+        return reader.parquet(self.path(name)).select(*spec.columns)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in TABLES or not self.versions(name):
