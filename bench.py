@@ -14,7 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from checks.queries import REGISTRY  # noqa: E402
+from driftlake_checks.queries import REGISTRY  # noqa: E402
 from driftlake.session import build_session  # noqa: E402
 
 HEADLINE = (

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftlake.functions.clock import Clock, ago, clock
-from driftlake.operators.positions import running_total
+from driftlake.operators.positions import running_totals
 from driftlake.schemas import TABLES, TableSpec
 from driftlake.sources.lake import Lake
 
@@ -233,8 +233,9 @@ def commit_history(raw_events: DataFrame, stamp: str = "ingested_at", payload: s
     minutes = raw_events.groupBy(F.date_trunc("minute", stamp).alias("committed_at")).agg(
         F.count(F.lit(1)).alias("added_records"), size.alias("added_bytes")
     )
-    totals = running_total(minutes, "committed_at", "added_records", "total_records")
-    return running_total(totals, "committed_at", "added_bytes", "total_bytes")
+    return running_totals(
+        minutes, "committed_at", {"added_records": "total_records", "added_bytes": "total_bytes"}
+    )
 
 
 def project_growth(history: DataFrame) -> DataFrame:

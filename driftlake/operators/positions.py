@@ -8,9 +8,9 @@ order that carry the few rows before them along.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftlake.session import settle
@@ -108,31 +108,32 @@ def trailing_totals(
     return made.filter(~F.col("_copy.context")).drop("_copy")
 
 
-def running_total(
-    per_step: DataFrame, ts: str, measure: str, name: str, step: str = "day"
-) -> DataFrame:
-    """Running sum over a time axis with one row per point in time.
+def running_totals(per_step: DataFrame, ts: str, measures: Mapping[str, str]) -> DataFrame:
+    """Running sums over a time axis with one row per point in time.
 
-    Two levels: totals per ``step`` are summed over the (few) steps, points inside their
-    own step, so no task holds the whole axis.
+    ``measures`` maps a column to the name of its total.  Days are summed over their year,
+    years over all years, and points over their own day, so no task holds the whole axis.
+    The points are written out first: the levels then read those few rows instead of
+    computing them again.
     """
-    stepped = per_step.withColumn("_step", F.date_trunc(step, ts))
-    totals = stepped.groupBy("_step").agg(F.sum(measure).alias("_total"))
-    years = totals.withColumn("_year", F.date_trunc("year", "_step"))
-    year_totals = years.groupBy("_year").agg(F.sum("_total").alias("_year_total"))
-    earlier = Window.orderBy("_year").rowsBetween(Window.unboundedPreceding, -1)
-    year_base = year_totals.select(
-        "_year", F.coalesce(F.sum("_year_total").over(earlier), F.lit(0)).alias("_year_base")
+    points = settle(per_step).withColumn("_day", F.date_trunc("day", ts))
+    before = (Window.unboundedPreceding, -1)
+
+    def earlier(column: str, window) -> Column:
+        return F.coalesce(F.sum(column).over(window.rowsBetween(*before)), F.lit(0))
+
+    days = points.groupBy("_day").agg(*[F.sum(column).alias(column) for column in measures])
+    days = days.withColumn("_year", F.date_trunc("year", "_day"))
+    years = days.groupBy("_year").agg(*[F.sum(column).alias(column) for column in measures])
+    year_bases = years.select(
+        "_year", *[earlier(column, Window.orderBy("_year")).alias(f"_y_{column}") for column in measures]
     )
-    inside_year = Window.partitionBy("_year").orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
-    bases = (
-        years.join(year_base, "_year")
-        .withColumn("_base", F.col("_year_base") + F.coalesce(F.sum("_total").over(inside_year), F.lit(0)))
-        .select("_step", "_base")
+    in_year = Window.partitionBy("_year").orderBy("_day")
+    day_bases = days.join(year_bases, "_year").select(
+        "_day", *[(F.col(f"_y_{column}") + earlier(column, in_year)).alias(f"_d_{column}") for column in measures]
     )
-    inside = Window.partitionBy("_step").orderBy(ts).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        stepped.join(bases, "_step")
-        .withColumn(name, F.col("_base") + F.sum(measure).over(inside))
-        .drop("_step", "_base")
+    in_day = Window.partitionBy("_day").orderBy(ts).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return points.join(day_bases, "_day").select(
+        *per_step.columns,
+        *[(F.col(f"_d_{column}") + F.sum(column).over(in_day)).alias(name) for column, name in measures.items()],
     )

@@ -98,18 +98,34 @@ def sentiment_rate(tables: Mapping[str, DataFrame], as_of: Clock = None) -> Data
     return _rate(tables["core_post_sentiment"], as_of, 60, "traffic.sentiment_rps")
 
 
-def _newest(df: DataFrame, rows: int, *ties: str) -> DataFrame:
-    """The newest rows by arrival; ties by key.  At most ``rows`` narrow rows."""
-    return df.orderBy(F.desc("ingested_at"), *ties).limit(rows)
+def _newest(df: DataFrame, rows: int, since: Column | None) -> DataFrame:
+    """The newest arrivals as ``(did, time_us, ingested_at)``; ties by key.
+
+    ``since`` spares the scan of what arrived earlier.
+    """
+    if since is not None:
+        df = df.filter(F.col("ingested_at") >= since)
+    return df.orderBy(F.desc("ingested_at"), "did", "time_us").limit(rows)
+
+
+def _from_oldest_of(table: DataFrame, recent: DataFrame) -> DataFrame:
+    """The part of a table that can match the recent rows.
+
+    Their oldest ``time_us`` becomes a scalar in the scan's pushed filters, so row groups
+    from before it are skipped instead of joined.
+    """
+    return table.filter(F.col("time_us") >= recent.agg(F.min("time_us")).scalar())
 
 
 def _lag(recent: DataFrame, upstream: DataFrame, name: str) -> DataFrame:
     """Average delay of the recent rows behind their upstream rows.
 
-    ``recent`` holds at most ``NEWEST_ROWS`` rows of three columns: it is the side to
+    ``recent`` holds at most the asked number of rows of three columns: it is the side to
     broadcast, and the upstream table is filtered in place.
     """
-    arrived = upstream.select("did", "time_us", F.col("ingested_at").alias("_upstream_at"))
+    arrived = _from_oldest_of(upstream, recent).select(
+        "did", "time_us", F.col("ingested_at").alias("_upstream_at")
+    )
     joined = arrived.join(F.broadcast(recent), ["did", "time_us"])
     return joined.agg(
         F.count(F.lit(1)).alias("matched"),
@@ -118,27 +134,28 @@ def _lag(recent: DataFrame, upstream: DataFrame, name: str) -> DataFrame:
 
 
 def stage_latency(
-    tables: Mapping[str, DataFrame], stage: str, newest: int = NEWEST_ROWS
+    tables: Mapping[str, DataFrame], stage: str, newest: int = NEWEST_ROWS, since: Column | None = None
 ) -> DataFrame:
     """Average delay from the raw row to the end table, over the end table's newest rows."""
     spec = STAGES[stage]
     terminal = tables[spec.table]
     if spec.event_type:
         terminal = terminal.filter(F.col("event_type") == spec.event_type)
-    recent = _newest(
-        terminal.select(F.col(spec.did).alias("did"), "time_us", "ingested_at"), newest, "did", "time_us"
-    )
+    recent = _newest(terminal.select(F.col(spec.did).alias("did"), "time_us", "ingested_at"), newest, since)
     raw = tables["raw_events"].filter(F.col("collection") == spec.collection)
     return _lag(recent, raw, f"latency.pipeline.{stage}")
 
 
-def sentiment_lag(tables: Mapping[str, DataFrame], newest: int = NEWEST_ROWS) -> DataFrame:
+def sentiment_lag(
+    tables: Mapping[str, DataFrame], newest: int = NEWEST_ROWS, since: Column | None = None
+) -> DataFrame:
+    """Average delay from a post's row to its score, over the newest scores."""
     scored = tables["core_post_sentiment"].select("did", "time_us", "ingested_at")
-    return _lag(_newest(scored, newest, "did", "time_us"), tables["core_posts"], "latency.sentiment.lag")
+    return _lag(_newest(scored, newest, since), tables["core_posts"], "latency.sentiment.lag")
 
 
 def sentiment_backlog(
-    tables: Mapping[str, DataFrame], as_of: Clock = None, newest: int = NEWEST_ROWS
+    tables: Mapping[str, DataFrame], as_of: Clock = None, newest: int = NEWEST_ROWS, since: Column | None = None
 ) -> DataFrame:
     """How many of the newest posts have no score yet.
 
@@ -146,11 +163,12 @@ def sentiment_backlog(
     the few wanted keys, so the large table is scanned once and not shuffled.
     """
     posts = tables["core_posts"].select("did", "time_us", "ingested_at")
-    recent = _newest(posts, newest, "did", "time_us").select("did", "time_us")
+    recent = _newest(posts, newest, since).select("did", "time_us")
     scored = tables["core_post_sentiment"]
     if as_of is not None:
         scored = scored.filter(F.col("ingested_at") <= clock(as_of))
-    keys = scored.select("did", "time_us").join(F.broadcast(recent), ["did", "time_us"], "left_semi").distinct()
+    wanted = _from_oldest_of(scored, recent).select("did", "time_us")
+    keys = wanted.join(F.broadcast(recent), ["did", "time_us"], "left_semi").distinct()
     joined = recent.join(keys.withColumn("_scored", F.lit(1)), ["did", "time_us"], "left")
     return joined.agg(
         F.count(F.lit(1)).alias("total"), F.count_if(F.col("_scored").isNull()).alias("unmatched")
@@ -263,6 +281,11 @@ def recoveries(history: DataFrame) -> DataFrame:
     return viewed.filter((F.col("status") == "ok") & _is_trigger("previous_status"))
 
 
+def _own_and_next(cycles: DataFrame) -> DataFrame:
+    """A failure gates its own cycle and the next."""
+    return cycles.select(F.explode(F.array(F.col("cycle"), F.col("cycle") + 1)).alias("cycle")).distinct()
+
+
 def layer_gates(results: DataFrame) -> DataFrame:
     """Gate each cycle's results by the layers below.
 
@@ -273,15 +296,11 @@ def layer_gates(results: DataFrame) -> DataFrame:
     """
     failed = results.filter(_is_trigger())
     l1 = failed.filter(F.col("layer") == "l1").select("cycle").distinct()
-    # A failure gates its own cycle and the next.
-    spread = lambda cycles: cycles.select(
-        F.explode(F.array(F.col("cycle"), F.col("cycle") + 1)).alias("cycle")
-    ).distinct()
-    l1_gate = spread(l1)
+    l1_gate = _own_and_next(l1)
     l2 = failed.filter(F.col("layer") == "l2").select("cycle").distinct().join(l1_gate, "cycle", "left_anti")
     gates = (
         l1_gate.select("cycle", F.lit(1).alias("l1"), F.lit(0).alias("l2"))
-        .unionByName(spread(l2).select("cycle", F.lit(0).alias("l1"), F.lit(1).alias("l2")))
+        .unionByName(_own_and_next(l2).select("cycle", F.lit(0).alias("l1"), F.lit(1).alias("l2")))
         .groupBy("cycle")
         .agg(F.max("l1").alias("_l1"), F.max("l2").alias("_l2"))
     )

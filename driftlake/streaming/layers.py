@@ -35,6 +35,8 @@ class LayerConfig:
     available_now: bool = False
     max_files: int | None = None
     max_bytes: str | None = None
+    # At most this many files per partition and micro-batch; None writes one per input task.
+    write_tasks: int | None = None
     lexicon: tuple[tuple[str, ...], tuple[str, ...]] = field(
         default=(sentiment.sentiment.POSITIVE_WORDS, sentiment.sentiment.NEGATIVE_WORDS)
     )
@@ -46,6 +48,8 @@ class LayerConfig:
 def append_stream(df: DataFrame, spec: TableSpec, lake: Lake, config: LayerConfig) -> StreamingQuery:
     """Append a stream to a lake table, in its day partitions."""
     rows = with_day(df.select(*spec.schema.names), spec)
+    if config.write_tasks:
+        rows = rows.coalesce(config.write_tasks)
     return (
         rows.writeStream.format("parquet")
         .outputMode("append")

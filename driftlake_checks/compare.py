@@ -1,4 +1,4 @@
-"""Run registered queries beside their SQL twins: ``python -m checks.compare [folder] [name ...]``."""
+"""Run registered queries beside their SQL twins: ``python -m driftlake_checks.compare [folder] [name ...]``."""
 
 from __future__ import annotations
 
@@ -8,8 +8,8 @@ import time
 
 import duckdb
 
-from checks.oracles import oracle_sql
-from checks.queries import GIVEN, REGISTRY
+from driftlake_checks.oracles import oracle_sql
+from driftlake_checks.queries import GIVEN, REGISTRY
 from driftlake.session import build_session
 
 

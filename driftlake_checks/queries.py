@@ -261,7 +261,7 @@ def ship_package(spark: SparkSession) -> None:
 
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     base = os.path.join(tempfile.mkdtemp(prefix="driftlake-ship-"), "driftlake_src")
-    for part in ("driftlake", "checks"):
+    for part in ("driftlake", "driftlake_checks"):
         shutil.copytree(
             os.path.join(root, part), os.path.join(base, part), ignore=shutil.ignore_patterns("__pycache__")
         )

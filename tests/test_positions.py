@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from driftlake.operators.positions import running_total, trailing_totals, with_lookback, with_position
+from driftlake.operators.positions import running_totals, trailing_totals, with_lookback, with_position
 from conftest import at
 from datetime import timedelta
 
@@ -81,7 +81,7 @@ def test_running_total_over_years(spark):
     start = at("00:00:00")
     steps = [(start + timedelta(hours=11 * n), n % 5) for n in range(1500)]
     df = spark.createDataFrame(steps, "t timestamp, n long")
-    got = [row.total for row in running_total(df, "t", "n", "total").orderBy("t").collect()]
+    got = [row.total for row in running_totals(df, "t", {"n": "total"}).orderBy("t").collect()]
     total, expected = 0, []
     for _, amount in steps:
         total += amount

@@ -77,7 +77,7 @@ def test_model_hook_maps_labels_of_either_case():
 
 
 def test_model_hook_on_spark(spark, rows):
-    from checks.queries import lexicon_model, ship_package
+    from driftlake_checks.queries import lexicon_model, ship_package
 
     ship_package(spark)
     posts = rows("core_posts", {"time_us": 1, "text": "good @x"}, {"time_us": 2, "text": None})

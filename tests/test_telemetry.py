@@ -183,6 +183,15 @@ def test_stage_latency(latency_tables):
     assert (empty.matched, empty.value_num) == (0, None)
 
 
+def test_latency_scan_is_bounded_by_the_recent_rows(spark, latency_tables, tmp_path):
+    latency_tables["raw_events"].write.parquet(str(tmp_path / "raw"))
+    given = {**latency_tables, "raw_events": spark.read.parquet(str(tmp_path / "raw"))}
+    plan = telemetry.stage_latency(given, "like", newest=2)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(time_us,ScalarSubquery" in plan
+    since = telemetry.stage_latency(given, "like", since=F.lit(at("10:00:04"))).first()
+    assert (since.matched, since.value_num) == (1, 4.5)
+
+
 def test_backlog_and_rates(rows):
     posts = [{"did": "a", "time_us": n, "ingested_at": at(f"10:00:{n:02d}")} for n in range(10)]
     scores = [{"did": "a", "time_us": n, "ingested_at": at(f"10:00:{n + 3:02d}")} for n in range(7)]
