@@ -679,18 +679,24 @@ SELECTS["stream_router"] = " UNION ALL ".join(
 SELECTS["stream_dedup"] = "SELECT did, time_us, collection FROM raw"
 
 
-def _closed(table: str, key: str) -> str:
+def _closed(table: str, key: str = "", column: str = "event_time") -> str:
     """Windows that end by the watermark: 15 minutes behind the newest row, in milliseconds."""
+    keys = f"{key}, " if key else ""
     return f"""
-SELECT date_trunc('minute', event_time) AS bucket_min, {key}, count(*) AS count FROM {table}
-WHERE date_trunc('minute', event_time) + INTERVAL 1 MINUTE <= (
-  SELECT date_trunc('millisecond', max(event_time)) - INTERVAL 15 MINUTE FROM {table})
+SELECT date_trunc('minute', {column}) AS bucket_min, {keys}count(*) AS count FROM {table}
+WHERE date_trunc('minute', {column}) + INTERVAL 1 MINUTE <= (
+  SELECT date_trunc('millisecond', max({column})) - INTERVAL 15 MINUTE FROM {table})
 GROUP BY ALL"""
 
 
-SELECTS["stream_mart_content_breakdown"] = _closed("core_posts", "content_type")
-SELECTS["stream_mart_trending_hashtags"] = _closed("core_hashtags", "tag")
+SELECTS["stream_mart_events_per_second"] = _closed("raw", column="ingested_at")
 SELECTS["stream_mart_engagement_velocity"] = _closed("core_engagement", "event_type")
+SELECTS["stream_mart_sentiment_timeseries"] = _closed("core_post_sentiment", "sentiment_label")
+SELECTS["stream_mart_trending_hashtags"] = _closed("core_hashtags", "tag")
+SELECTS["stream_mart_most_mentioned"] = _closed("core_mentions", "mentioned_did")
+SELECTS["stream_mart_language_distribution"] = _closed("core_posts", "primary_lang")
+SELECTS["stream_mart_content_breakdown"] = _closed("core_posts", "content_type")
+SELECTS["stream_mart_embed_usage"] = _closed("core_posts", "embed_type")
 SELECTS["table_ensure_and_append"] = """
 SELECT event_time::DATE AS day, operation, count(*) AS rows, min(event_time) AS first_at, max(event_time) AS last_at
 FROM stg_blocks GROUP BY 1, 2"""

@@ -742,7 +742,7 @@ def _(tables):
     return spark.read.parquet(f"{root}/once")
 
 
-for _name in ("mart_content_breakdown", "mart_trending_hashtags", "mart_engagement_velocity"):
+for _name in STREAM_MARTS:
 
     @query(f"stream_{_name}")
     def _(tables, name=_name):

@@ -54,7 +54,7 @@ def test_trending_plan_has_one_scan_and_no_join(spark, rows, tmp_path):
     rows("core_hashtags", *tag_rows("t", 1, 5)).write.parquet(str(tmp_path / "tags"))
     panel = panels.panel_trending_hashtags({"core_hashtags": spark.read.parquet(str(tmp_path / "tags"))}, AS_OF)
     plan = panel._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 1 and "Join" not in plan
+    assert plan.count("FileScan") == 1 and "Join" not in plan and plan.count("Exchange") == 1
     assert "GreaterThanOrEqual(event_time" in plan
 
 

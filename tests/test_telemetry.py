@@ -186,7 +186,9 @@ def test_stage_latency(latency_tables):
 def test_latency_scan_is_bounded_by_the_recent_rows(spark, latency_tables, tmp_path):
     latency_tables["raw_events"].write.parquet(str(tmp_path / "raw"))
     given = {**latency_tables, "raw_events": spark.read.parquet(str(tmp_path / "raw"))}
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
     plan = telemetry.stage_latency(given, "like", newest=2)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(time_us,ScalarSubquery" in plan
     since = telemetry.stage_latency(given, "like", since=F.lit(at("10:00:04"))).first()
     assert (since.matched, since.value_num) == (1, 4.5)
