@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,10 @@ HYGIENE_FILE_COUNT = 5000
 HYGIENE_AVG_KB = 32.0
 HYGIENE_SMALL_RATIO = 0.50
 RETAIN_DAYS = 30
+COMPACT_MIN_FILES = 2
+
+# What counts as well below the target size.
+SMALL_SHARE = 0.75
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
@@ -151,33 +155,46 @@ def _totals(spark: SparkSession, path: str) -> tuple[int, int]:
     return row["files"], row["bytes"]
 
 
+def fragmented_days(lake: Lake, spec: TableSpec, target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
+    """Days with a partition that holds two or more files well below the target size."""
+    files = list_files(lake.spark, lake.path(spec.name))
+    day = F.regexp_extract("path", f"{spec.date_column}=([0-9-]+)", 1)
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+    small = files.filter(F.col("bytes") < F.lit(target_bytes * SMALL_SHARE))
+    crowded = small.groupBy(day.alias("day"), folder.alias("folder")).agg(F.count(F.lit(1)).alias("small_files"))
+    return crowded.filter(F.col("small_files") >= COMPACT_MIN_FILES).select("day").distinct()
+
+
 def compact_table(lake: Lake, spec: TableSpec, target_bytes: int = TARGET_FILE_BYTES) -> dict[str, object]:
-    """Rewrite a table into files of about ``target_bytes``, sorted as before.
+    """Rewrite the fragmented days into files of about ``target_bytes``, sorted as before.
 
-    The rows go to a new version; the old one stays until ``drop_old_versions``.  Pause the
-    table's batch writers meanwhile.  A table a stream writes to is compacted day by day
-    into another lake instead (``Lake.publish_days``).
+    Days that are in shape are neither read nor written.  Pause the table's batch writers
+    meanwhile; a table a stream writes to is compacted into another lake instead
+    (``Lake.publish_days``).
     """
-    if lake.is_streamed(spec.name):
-        raise ValueError(f"{spec.name} is written by a stream; use publish_days")
-    before_path = lake.path(spec.name)
-    files_before, bytes_before = _totals(lake.spark, before_path)
-    table = lake.read(spec.name)
-    # AQE splits a partition that is too large for one task into several of this size.
-    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    previous = lake.spark.conf.get(setting)
-    lake.spark.conf.set(setting, str(target_bytes))
-    try:
-        after_path = lake.replace(spec, table)
-    finally:
-        lake.spark.conf.set(setting, previous)
-    files_after, bytes_after = _totals(lake.spark, after_path)
+    lake.require_batch(spec.name)
+    spark = lake.spark
+    files_before, bytes_before = _totals(spark, lake.path(spec.name))
+    # One short string per day.
+    days = sorted(row["day"] for row in fragmented_days(lake, spec, target_bytes).collect())
+    if days:
+        chosen = F.col(spec.date_column).isin([date.fromisoformat(day) for day in days])
+        # AQE splits a partition that is too large for one task into several of this size.
+        setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+        previous = spark.conf.get(setting)
+        spark.conf.set(setting, str(target_bytes))
+        try:
+            lake.replace_days(spec, lake.read(spec.name).filter(chosen))
+        finally:
+            spark.conf.set(setting, previous)
+    files_after, bytes_after = _totals(spark, lake.path(spec.name))
     return {
         "table": spec.name,
         "files_before": files_before,
         "files_after": files_after,
         "bytes_before": bytes_before,
         "bytes_after": bytes_after,
+        "days_rewritten": len(days),
     }
 
 
@@ -196,22 +213,24 @@ def run_maintenance(
     rows = [compact_table(lake, TABLES[name]) for name in names]
     report = spark.createDataFrame(
         [tuple(row.values()) for row in rows],
-        "table string, files_before bigint, files_after bigint, bytes_before bigint, bytes_after bigint",
+        "table string, files_before bigint, files_after bigint, bytes_before bigint, bytes_after bigint,"
+        " days_rewritten bigint",
     )
     done = report.select("table", F.lit(as_of).alias("finished_at"))
     return report, log.select("table", "finished_at").unionByName(done)
 
 
-def expired_days(partitions: DataFrame, day_column: str, as_of: Clock = None, days: int = RETAIN_DAYS) -> DataFrame:
-    """Day partitions that lie wholly before the retention window."""
-    limit = F.to_date(ago(as_of, days=days))
-    return partitions.select(day_column).distinct().filter(F.col(day_column) < limit)
+def expired_days(days: Sequence[str], as_of: datetime, retain_days: int = RETAIN_DAYS) -> list[str]:
+    """Days that lie wholly before the retention window."""
+    limit = (as_of - timedelta(days=retain_days)).date().isoformat()
+    return [day for day in days if day < limit]
 
 
-def apply_retention(lake: Lake, spec: TableSpec, as_of: Clock = None, days: int = RETAIN_DAYS) -> str:
-    """Write a version of the table without the expired days; pruned days are not read."""
-    limit = F.to_date(ago(as_of, days=days))
-    return lake.replace(spec, lake.read(spec.name).filter(F.col(spec.date_column) >= limit))
+def apply_retention(lake: Lake, spec: TableSpec, as_of: datetime, retain_days: int = RETAIN_DAYS) -> list[str]:
+    """Delete the expired day partitions; returns the days that went."""
+    gone = expired_days(lake.days(spec), as_of, retain_days)
+    lake.drop_days(spec, gone)
+    return gone
 
 
 # -- sizing ------------------------------------------------------------------------------

@@ -281,9 +281,10 @@ def recoveries(history: DataFrame) -> DataFrame:
     return viewed.filter((F.col("status") == "ok") & _is_trigger("previous_status"))
 
 
-def _own_and_next(cycles: DataFrame) -> DataFrame:
-    """A failure gates its own cycle and the next."""
-    return cycles.select(F.explode(F.array(F.col("cycle"), F.col("cycle") + 1)).alias("cycle")).distinct()
+def _fold_cycles(cycles: DataFrame, own: Column, after: Column) -> DataFrame:
+    """Spread each cycle's flags over itself and the next cycle, and fold them per cycle."""
+    spread = cycles.select(F.inline(F.array(own, after)))
+    return spread.groupBy("cycle").agg(F.max("l1").alias("l1"), F.max("l2").alias("l2"))
 
 
 def layer_gates(results: DataFrame) -> DataFrame:
@@ -293,20 +294,21 @@ def layer_gates(results: DataFrame) -> DataFrame:
     and ``status``.  A layer-2 result becomes ``skip`` when layer 1 failed in this cycle or
     the one before, a layer-3 result when layer 1 or 2 did; a skipped failure is no failure.
     Layer 1 is never gated, so its failures decide layer 2's, and both decide layer 3's.
+    Failures fold to one row per cycle before any cycle meets its neighbour.
     """
-    failed = results.filter(_is_trigger())
-    l1 = failed.filter(F.col("layer") == "l1").select("cycle").distinct()
-    l1_gate = _own_and_next(l1)
-    l2 = failed.filter(F.col("layer") == "l2").select("cycle").distinct().join(l1_gate, "cycle", "left_anti")
-    gates = (
-        l1_gate.select("cycle", F.lit(1).alias("l1"), F.lit(0).alias("l2"))
-        .unionByName(_own_and_next(l2).select("cycle", F.lit(0).alias("l1"), F.lit(1).alias("l2")))
-        .groupBy("cycle")
-        .agg(F.max("l1").alias("_l1"), F.max("l2").alias("_l2"))
+    none = F.lit(False)
+    following = (F.col("cycle") + 1).alias("cycle")
+    failed = results.filter(_is_trigger() & F.col("layer").isin("l1", "l2"))
+    cycles = failed.groupBy("cycle").agg(
+        F.max(F.col("layer") == "l1").alias("l1"), F.max(F.col("layer") == "l2").alias("l2")
     )
+    # A layer-1 failure gates its own cycle and the next; so does a layer-2 failure that ran.
+    first = _fold_cycles(cycles, F.struct("cycle", "l1", "l2"), F.struct(following, "l1", none.alias("l2")))
+    ran = first.select("cycle", "l1", (F.col("l2") & ~F.col("l1")).alias("l2"))
+    gates = _fold_cycles(ran, F.struct("cycle", "l1", "l2"), F.struct(following, none.alias("l1"), "l2"))
     joined = results.join(gates, "cycle", "left")
-    reason = F.when((F.col("layer") == "l2") & (F.col("_l1") == 1), "layer gate: L1 breached").when(
-        (F.col("layer") == "l3") & ((F.col("_l1") == 1) | (F.col("_l2") == 1)), "layer gate: L1/L2 breached"
+    reason = F.when((F.col("layer") == "l2") & F.col("l1"), "layer gate: L1 breached").when(
+        (F.col("layer") == "l3") & (F.col("l1") | F.col("l2")), "layer gate: L1/L2 breached"
     )
     return joined.select(
         *results.columns,

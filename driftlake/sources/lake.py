@@ -1,14 +1,14 @@
 """Lake tables on parquet directories, partitioned by day.
 
-A table lives in ``root/name/vNNNNNNNN``; the newest version that was finished (its
-``_SUCCESS`` file is there) is the table.  Rewrites go to a new version, so a reader sees
-either the old files or the new ones.
+A table lives in ``root/name``.  Batch writers append to it; a table a stream writes to
+belongs to that stream, whose log says which files count.  Days are cut in the session's
+time zone, which ``driftlake.session`` pins to UTC.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,45 +43,23 @@ class Lake(Mapping):
     spark: SparkSession
     root: str
 
-    # -- locations -----------------------------------------------------------------
+    def path(self, name: str) -> str:
+        return os.path.join(self.root, name)
+
     def _fs(self, path: str):
         jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm_path
 
-    def versions(self, name: str, finished: bool = True) -> list[str]:
-        fs, folder = self._fs(os.path.join(self.root, name))
-        if not fs.exists(folder):
-            return []
-        names = sorted(status.getPath().getName() for status in fs.listStatus(folder))
-        paths = [os.path.join(self.root, name, entry) for entry in names if entry.startswith("v")]
-        if not finished:
-            return paths
-        return [path for path in paths if self._is_finished(path)]
-
-    def _is_finished(self, path: str) -> bool:
-        return any(self._exists(os.path.join(path, mark)) for mark in ("_SUCCESS", "_spark_metadata"))
-
     def _exists(self, path: str) -> bool:
         fs, target = self._fs(path)
         return fs.exists(target)
 
-    def path(self, name: str) -> str:
-        finished = self.versions(name)
-        return finished[-1] if finished else os.path.join(self.root, name, "v00000001")
-
-    def next_path(self, name: str) -> str:
-        known = self.versions(name, finished=False)
-        number = int(os.path.basename(known[-1])[1:]) if known else 0
-        return os.path.join(self.root, name, f"v{number + 1:08d}")
-
-    # -- tables --------------------------------------------------------------------
     def ensure_table(self, spec: TableSpec) -> str:
         """Create the table, empty, where it is missing."""
-        if self.versions(spec.name):
-            return self.path(spec.name)
-        target = self.next_path(spec.name)
-        empty = self.spark.createDataFrame([], spec.stored_schema)
-        empty.write.partitionBy(*spec.partitions).parquet(target)
+        target = self.path(spec.name)
+        if not self._exists(target):
+            empty = self.spark.createDataFrame([], spec.stored_schema)
+            empty.write.partitionBy(*spec.partitions).parquet(target)
         return target
 
     def ensure_all(self) -> None:
@@ -92,28 +70,41 @@ class Lake(Mapping):
         """Whether a stream sink keeps the table; its log decides which files count."""
         return self._exists(os.path.join(self.path(name), "_spark_metadata"))
 
+    def require_batch(self, name: str) -> None:
+        if self.is_streamed(name):
+            raise ValueError(f"{name} is written by a stream; only its log's files would be read")
+
     def append(self, spec: TableSpec, df: DataFrame, files_per_day: int | None = None) -> None:
-        if self.is_streamed(spec.name):
-            raise ValueError(f"{spec.name} is written by a stream; batch files would not be read")
+        self.require_batch(spec.name)
         rows = df.select(*spec.schema.names)
         laid_out(rows, spec, files_per_day).write.mode("append").partitionBy(*spec.partitions).parquet(
             self.path(spec.name)
         )
 
-    def replace(self, spec: TableSpec, df: DataFrame, files_per_day: int | None = None) -> str:
-        """Write a whole new version; readers move to it when it is complete."""
-        target = self.next_path(spec.name)
+    def replace_days(self, spec: TableSpec, df: DataFrame, files_per_day: int | None = None) -> None:
+        """Write the rows in place of the partitions they fall in; others stay as they are.
+
+        The new files are staged and take the old ones' place when all are written.
+        """
+        self.require_batch(spec.name)
         rows = df.select(*spec.schema.names)
-        laid_out(rows, spec, files_per_day).write.partitionBy(*spec.partitions).parquet(target)
-        return target
+        laid_out(rows, spec, files_per_day).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(*spec.partitions).parquet(self.path(spec.name))
 
-    def drop_old_versions(self, name: str, keep: int = 1) -> list[str]:
-        """Delete all but the newest finished versions; returns what went."""
-        gone = self.versions(name)[:-keep]
-        for path in gone:
-            fs, target = self._fs(path)
+    def drop_days(self, spec: TableSpec, days: Sequence[str]) -> None:
+        """Delete whole day partitions; no row is read."""
+        self.require_batch(spec.name)
+        for day in days:
+            fs, target = self._fs(os.path.join(self.path(spec.name), f"{spec.date_column}={day}"))
             fs.delete(target, True)
-        return gone
+
+    def days(self, spec: TableSpec) -> list[str]:
+        """The table's day partitions, from its folder names."""
+        fs, folder = self._fs(self.path(spec.name))
+        names = [status.getPath().getName() for status in fs.listStatus(folder)]
+        prefix = f"{spec.date_column}="
+        return sorted(name.removeprefix(prefix) for name in names if name.startswith(prefix))
 
     def read(self, name: str) -> DataFrame:
         spec = TABLES[name]
@@ -129,10 +120,7 @@ class Lake(Mapping):
         """
         target.ensure_table(spec)
         days = F.col(spec.date_column).between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))
-        rows = self.read(spec.name).filter(days).drop(spec.date_column)
-        laid_out(rows, spec, files_per_day).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(*spec.partitions).parquet(target.path(spec.name))
+        target.replace_days(spec, self.read(spec.name).filter(days), files_per_day)
 
     def stream(self, name: str, max_files: int | None = None, max_bytes: str | None = None) -> DataFrame:
         """The table as a stream of newly added files."""
@@ -145,12 +133,12 @@ class Lake(Mapping):
         return reader.parquet(self.path(name)).select(*spec.columns)
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in TABLES or not self.versions(name):
+        if name not in TABLES or not self._exists(self.path(name)):
             raise KeyError(name)
         return self.read(name)
 
     def __iter__(self) -> Iterator[str]:
-        return (name for name in TABLES if self.versions(name))
+        return (name for name in TABLES if self._exists(self.path(name)))
 
     def __len__(self) -> int:
         return sum(1 for _ in self)

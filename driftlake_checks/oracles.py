@@ -400,6 +400,9 @@ SELECTS["maintenance_totals"] = (
     + " UNION ALL ".join(f"SELECT count(*) AS n FROM {name}" for name in _GIVEN)
     + ")"
 )
+SELECTS["maintenance_record_counts"] = " UNION ALL ".join(
+    f"""SELECT '{name}' AS "table", 1::BIGINT AS file_count, count(*) AS record_count FROM {name}""" for name in _GIVEN
+)
 _MONTHS = """(SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d %H:%M:%S') AS "table", count(*) AS file_count,
   sum(trunc(o_totalprice)::BIGINT) / count(*) / 1024.0 AS avg_kb FROM orders GROUP BY 1)"""
 _NEEDS = "(file_count > 500 OR (avg_kb > 0 AND avg_kb < 30))"

@@ -324,6 +324,12 @@ def _(tables):
     return maintenance.totals_rollup(stats).select("tables", "record_count", "file_count")
 
 
+@query("maintenance_record_counts")
+def _(tables):
+    stats = maintenance.file_stats(tables.spark, _paths(tables))
+    return stats.select("table", "file_count", "record_count")
+
+
 @query("maintenance_hygiene")
 def _(tables):
     return maintenance.hygiene(maintenance.file_stats(tables.spark, _paths(tables)))
@@ -389,7 +395,7 @@ def _(tables):
     lake.append(spec, days)
     newest = tables.as_of_us - 1_704_067_200_000_000
     as_of = tables.as_of - timedelta(microseconds=newest) + timedelta(microseconds=newest * COMPRESSION)
-    maintenance.apply_retention(lake, spec, as_of, days=10)
+    maintenance.apply_retention(lake, spec, as_of, retain_days=10)
     kept = lake.read(spec.name)
     return kept.groupBy(spec.date_column).agg(F.count(F.lit(1)).alias("events")).withColumnRenamed(
         spec.date_column, "day"

@@ -74,35 +74,41 @@ def test_compaction_keeps_the_rows(lake, rows):
     fragmented(lake, rows)
     before = fingerprint(lake.read(LIKES.name))
     report = maintenance.compact_table(lake, LIKES)
-    assert report["files_before"] == 30 and report["files_after"] == 3
-    assert fingerprint(lake.read(LIKES.name)) == before
-    assert len(lake.versions(LIKES.name)) == 2
-    lake.drop_old_versions(LIKES.name)
-    assert len(lake.versions(LIKES.name)) == 1
+    assert (report["files_before"], report["files_after"], report["days_rewritten"]) == (30, 3, 3)
     assert fingerprint(lake.read(LIKES.name)) == before
+    times = [row.event_time for row in lake.spark.read.parquet(lake.path(LIKES.name) + "/event_date=2024-01-02").collect()]
+    assert times == sorted(times)
 
 
-def test_an_unfinished_rewrite_is_not_read(spark, lake, rows):
-    fragmented(lake, rows)
+def test_compaction_leaves_days_in_shape_alone(spark, lake, rows):
+    fragmented(lake, rows, files=1)
+    extra = likes(rows, days=1)
+    lake.append(LIKES, extra)
     before = fingerprint(lake.read(LIKES.name))
-    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-    try:
-        likes(rows, days=1).withColumn("event_date", F.to_date("event_time")).write.option(
-            "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
-        ).partitionBy("event_date").parquet(lake.next_path(LIKES.name))
-    finally:
-        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
-    assert len(lake.versions(LIKES.name, finished=False)) == 2
+    untouched = {row.path for row in maintenance.list_files(spark, lake.path(LIKES.name)).collect() if "2024-01-01" not in row.path}
+    assert [row.day for row in maintenance.fragmented_days(lake, LIKES).collect()] == ["2024-01-01"]
+    report = maintenance.compact_table(lake, LIKES)
+    assert (report["files_before"], report["files_after"], report["days_rewritten"]) == (4, 3, 1)
+    assert untouched <= {row.path for row in maintenance.list_files(spark, lake.path(LIKES.name)).collect()}
     assert fingerprint(lake.read(LIKES.name)) == before
-    assert lake.next_path(LIKES.name).endswith("v00000003")
+    assert maintenance.compact_table(lake, LIKES)["days_rewritten"] == 0
+
+
+def test_compaction_of_a_table_with_null_partitions(lake, rows):
+    lake.ensure_table(RAW_EVENTS)
+    for n in range(3):
+        lake.append(RAW_EVENTS, rows("raw_events", {"time_us": n, "collection": "a"}, {"time_us": n, "collection": None}))
+    report = maintenance.compact_table(lake, RAW_EVENTS)
+    assert (report["files_before"], report["files_after"]) == (6, 2)
+    assert lake.read("raw_events").groupBy("collection").count().orderBy("collection").collect() == [(None, 3), ("a", 3)]
 
 
 def test_retention_drops_whole_days(lake, rows):
     fragmented(lake, rows)
     as_of = at("10:00:00") + timedelta(days=31)
-    days = maintenance.expired_days(lake.read(LIKES.name), "event_date", as_of)
-    assert [str(row.event_date) for row in days.collect()] == ["2024-01-01"]
-    maintenance.apply_retention(lake, LIKES, as_of)
+    assert lake.days(LIKES) == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert maintenance.apply_retention(lake, LIKES, as_of) == ["2024-01-01"]
+    assert lake.days(LIKES) == ["2024-01-02", "2024-01-03"]
     assert lake.read(LIKES.name).count() == 80
 
 
