@@ -38,4 +38,5 @@ def severity_rank(severity: Column) -> Column:
 
 def worst_severity(severity: Column) -> Column:
     """Aggregate: the worst severity of a group, grey when there is none."""
-    return F.coalesce(F.max_by(severity, severity_rank(severity)), F.lit("grey"))
+    by_rank = F.array(*[F.lit(name) for name in sorted(SEVERITY_RANK, key=SEVERITY_RANK.get)])
+    return F.get(by_rank, F.coalesce(F.max(severity_rank(severity)), F.lit(0)))

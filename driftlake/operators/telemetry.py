@@ -228,12 +228,22 @@ def recent_history(history: DataFrame, as_of_ts: int | Column, window_s: int) ->
 
 
 def last_results(history: DataFrame, count: int) -> DataFrame:
-    """Each check's last ``count`` results.
+    """Each check's last ``count`` results, ``recency`` 1 being the newest.
 
-    Spark limits each input partition to ``count`` rows per check before the shuffle.
+    For the usual small counts Spark cuts each input partition down to ``count`` rows per
+    check before the shuffle.  It does not for large ones; there the results are numbered
+    without gathering a check.
     """
-    order = Window.partitionBy("check_name").orderBy(F.desc("ts"), F.desc("seq"))
-    ranked = history.withColumn("recency", F.row_number().over(order))
+    limit = int(history.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if count <= limit:
+        order = Window.partitionBy("check_name").orderBy(F.desc("ts"), F.desc("seq"))
+        ranked = history.withColumn("recency", F.row_number().over(order))
+        return ranked.filter(F.col("recency") <= count)
+    placed = with_position(history, ["check_name"], ["ts", "seq"])
+    totals = placed.groupBy("check_name").agg(F.max("position").alias("_total"))
+    ranked = placed.join(totals, "check_name").select(
+        *history.columns, (F.col("_total") - F.col("position") + 1).cast("int").alias("recency")
+    )
     return ranked.filter(F.col("recency") <= count)
 
 

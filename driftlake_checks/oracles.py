@@ -215,7 +215,7 @@ for _name in (
     )
     SELECTS[_name] = f"SELECT {_columns} FROM {_name}"
 SELECTS["score_with_model"] = SELECTS["core_post_sentiment"]
-SELECTS["score_with_model_one_device"] = """
+SELECTS["score_with_model_on_devices"] = """
 SELECT sentiment_label, count(*) AS posts FROM core_post_sentiment GROUP BY 1"""
 SELECTS["stg_embed_kinds"] = "SELECT has_embed, embed_type, count(*) AS posts FROM stg_posts GROUP BY 1, 2"
 SELECTS["stg_event_times"] = "SELECT did, time_us, event_time FROM timed"

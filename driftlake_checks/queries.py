@@ -238,13 +238,14 @@ def _(tables):
     )
 
 
-@query("score_with_model_one_device")
+@query("score_with_model_on_devices")
 def _(tables):
+    """Scoring on as many tasks as there are devices, here four."""
     from driftlake.sources.fixtures import sentiment_stamp
 
     ship_package(tables.spark)
     scored = sentiment.score_with_model(
-        tables["core_posts"], lexicon_model(POSITIVE, NEGATIVE), "fixture-lexicon", sentiment_stamp(), partitions=1
+        tables["core_posts"], lexicon_model(POSITIVE, NEGATIVE), "fixture-lexicon", sentiment_stamp(), partitions=4
     )
     return scored.groupBy("sentiment_label").agg(F.count(F.lit(1)).alias("posts"))
 

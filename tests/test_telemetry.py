@@ -64,6 +64,19 @@ def test_latest_keeps_ties_and_last_n_does_not(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_many_last_results_are_numbered_without_gathering(spark):
+    data = [(n, n, "ab"[n % 3 == 0], "ok", 0.0) for n in range(300)]
+    df = spark.createDataFrame(data, HISTORY)
+    few = {(r.check_name, r.seq, r.recency) for r in telemetry.last_results(df, 50).collect()}
+    threshold = "spark.sql.optimizer.windowGroupLimitThreshold"
+    spark.conf.set(threshold, "10")
+    try:
+        many = {(r.check_name, r.seq, r.recency) for r in telemetry.last_results(df, 50).collect()}
+    finally:
+        spark.conf.unset(threshold)
+    assert many == few and len(many) == 100
+
+
 def test_history_window_and_retention(spark):
     df = history(spark, *["ok"] * 10)
     assert telemetry.recent_history(df, 9, 3).count() == 4
