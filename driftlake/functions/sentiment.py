@@ -32,10 +32,14 @@ def prepare_text(text: Column) -> Column:
     return F.when(linked, F.regexp_replace(handles, URL_TEXT, URL_MARK)).otherwise(handles)
 
 
-def lexicon_lead(text: Column, positive: Sequence[str], negative: Sequence[str]) -> Column:
-    """Positive minus negative words of the whole text, found in one pass over it."""
+def lexicon_words(text: Column, positive: Sequence[str], negative: Sequence[str]) -> Column:
+    """The lexicon's words in the whole text, in one pass over it."""
     words = "|".join([*positive, *negative])
-    found = F.regexp_extract_all(F.lower(text), F.lit(rf"(?<![a-z])({words})(?![a-z])"), F.lit(1))
+    return F.regexp_extract_all(F.lower(text), F.lit(rf"(?<![a-z])({words})(?![a-z])"), F.lit(1))
+
+
+def words_lead(found: Column, positive: Sequence[str]) -> Column:
+    """Positive minus negative words."""
     hits = F.filter(found, lambda word: word.isin(list(positive)))
     return F.size(hits) * F.lit(2) - F.size(found)
 
@@ -62,8 +66,9 @@ def with_lexicon_scores(
 ) -> DataFrame:
     """Add the scores of a text column, step by step so that each step is computed once."""
     prepared = df.withColumn("_prepared", prepare_text(F.col(text)))
-    led = prepared.withColumn("_lead", lexicon_lead(F.col("_prepared"), positive, negative))
-    return led.withColumn(name, lead_scores(F.col("_lead"))).drop("_prepared", "_lead")
+    found = prepared.withColumn("_found", lexicon_words(F.col("_prepared"), positive, negative))
+    led = found.withColumn("_lead", words_lead(F.col("_found"), positive))
+    return led.withColumn(name, lead_scores(F.col("_lead"))).drop("_prepared", "_found", "_lead")
 
 
 def top_label(scores: Column) -> Column:
