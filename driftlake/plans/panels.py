@@ -57,9 +57,23 @@ def panel_current_sentiment(tables: Tables, as_of: Clock = None) -> DataFrame:
 
 
 def _top_posts(tables: Tables, as_of: Clock, score: str) -> DataFrame:
-    posts = _newest(marts.mart_top_posts(tables, as_of), "bucket_min", day_start(as_of))
-    top = posts.orderBy(F.desc(score), "did", "time_us", "rkey").limit(5)
-    return top.select("text", score, "sentiment_label", "primary_lang", "content_type")
+    """Today's five highest posts.
+
+    The ranking joins keys and scores only; texts are read for the at most five keys it
+    leaves, so no text is shuffled.  Copies of a key stay copies, as the winners are joined
+    and ranked again in full.
+    """
+    key = ["did", "time_us"]
+    order = [F.desc(score), *key, "rkey"]
+
+    def ranked(from_tables: Tables) -> DataFrame:
+        posts = _newest(marts.mart_top_posts(from_tables, as_of), "bucket_min", day_start(as_of))
+        return posts.orderBy(*order).limit(5)
+
+    winners = F.broadcast(ranked(tables).select(*key).distinct())
+    names = ("core_posts", "core_post_sentiment")
+    only_winners = {name: tables[name].join(winners, key, "left_semi") for name in names}
+    return ranked(only_winners).select("text", score, "sentiment_label", "primary_lang", "content_type")
 
 
 def panel_top_posts_positive(tables: Tables, as_of: Clock = None) -> DataFrame:

@@ -131,6 +131,29 @@ def test_top_posts_need_both_sides_today(rows):
     assert panels.panel_top_posts_positive(given, AS_OF).first().sentiment_positive == 0.9
 
 
+def test_top_posts_keep_copies_and_break_ties(rows):
+    posts = [{"did": d, "time_us": 1, "rkey": "r", "event_time": at("10:00:00"), "text": f"{d}{n}"} for d in "abc" for n in range(2)]
+    scores = [
+        {"did": d, "time_us": 1, "event_time": at("10:00:00"), "sentiment_negative": v, "sentiment_label": "x"}
+        for d, v in (("a", 0.1), ("b", 0.5), ("c", 0.5))
+    ]
+    given = tables(rows, core_posts=posts, core_post_sentiment=[*scores, scores[1]])
+    top = panels.panel_top_posts_negative(given, AS_OF).collect()
+    assert sorted(row.text for row in top)[:4] == ["b0", "b0", "b1", "b1"]
+    assert len(top) == 5 and top[4].text in ("c0", "c1")
+
+
+def test_top_posts_shuffle_no_text(spark, rows, tmp_path):
+    for name in ("core_posts", "core_post_sentiment"):
+        rows(name, {"event_time": at("10:00:00"), "text": "t"}).write.parquet(str(tmp_path / name))
+    given = {name: spark.read.parquet(str(tmp_path / name)) for name in ("core_posts", "core_post_sentiment")}
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = panels.panel_top_posts_positive(given, AS_OF)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert sum("text:string" in scan for scan in scans) == 1
+
+
 def test_rates_divide_by_ten(rows):
     likes = [{"event_type": "like", "actor_did": "a", "event_time": at("11:30:05")}] * 3
     likes += [{"event_type": "repost", "actor_did": "a", "event_time": at("11:30:05")}]
