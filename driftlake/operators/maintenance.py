@@ -8,7 +8,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftlake.functions.clock import Clock, ago, clock
+from driftlake.functions.clock import Clock, clock
 from driftlake.operators.positions import running_totals
 from driftlake.schemas import TABLES, TableSpec
 from driftlake.sources.lake import Lake

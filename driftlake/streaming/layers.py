@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from driftlake.functions.sentiment import NEGATIVE_WORDS, POSITIVE_WORDS
 from driftlake.operators import core, sentiment, staging
 from driftlake.schemas import LIKE, RAW_EVENTS, REPOST, ROUTES, TABLES, TableSpec
 from driftlake.sources.events import read_events_stream, to_raw_events
@@ -37,9 +37,7 @@ class LayerConfig:
     max_bytes: str | None = None
     # At most this many files per partition and micro-batch; None writes one per input task.
     write_tasks: int | None = None
-    lexicon: tuple[tuple[str, ...], tuple[str, ...]] = field(
-        default=(sentiment.sentiment.POSITIVE_WORDS, sentiment.sentiment.NEGATIVE_WORDS)
-    )
+    lexicon: tuple[tuple[str, ...], tuple[str, ...]] = (POSITIVE_WORDS, NEGATIVE_WORDS)
 
     def trigger_options(self) -> dict[str, object]:
         return {"availableNow": True} if self.available_now else {"processingTime": self.trigger}

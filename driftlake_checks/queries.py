@@ -16,7 +16,7 @@ from driftlake.functions import sentiment as text
 from driftlake.functions.clock import micros_to_timestamp
 from driftlake.operators import core, maintenance, quality, sentiment, staging, telemetry
 from driftlake.plans import marts, panels
-from driftlake.schemas import FOLLOW, POST, RAW_EVENTS, ROUTES, TABLES
+from driftlake.schemas import FOLLOW, RAW_EVENTS, ROUTES, TABLES
 from driftlake.session import scratch_path
 from driftlake.sources import events
 from driftlake.sources.fixtures import COMPRESSION, NEGATIVE, POSITIVE, FixtureTables
