@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from driftlake.llm import digest_index, mixing, url_rules
+from driftlake.llm import digest_index, langid, mixing, secrets, url_rules, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_langid": langid.op1_langid,
+    "op2_warc": warc.op2_warc,
     "op5_exact_dedup": digest_index.op5_exact_dedup,
+    "op6_secrets": secrets.op6_secrets,
     "op7_mixing": mixing.op7_mixing,
     "op9_url_rules": url_rules.op9_url_rules,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_warc": warc.ORACLE,
     "op5_exact_dedup": digest_index.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op9_url_rules": url_rules.ORACLE,
