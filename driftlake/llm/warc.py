@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftlake.llm.common import given, whole, width, written
+from driftlake.llm.common import given, whole, written
 from driftlake.session import scratch_path
 
 #: Bytes of a payload from which copies become revisits.
@@ -157,7 +157,8 @@ def write_archives(pages: DataFrame, path: str) -> None:
     firsts = written(
         named.filter(F.col("bytes") >= SMALLEST)
         .groupBy("digest")
-        .agg(F.min(F.struct(_last("page_id").alias("page"), "count")).alias("first"))
+        .agg(F.min(F.struct(_last("page_id").alias("page"), "count")).alias("first"), F.sum("count").alias("copies"))
+        .filter("copies > 1")
         .select("digest", F.col("first.page").alias("first_page"), F.col("first.count").alias("times"))
         .withColumn("first_record", F.uuid()),
         "warc-firsts",
@@ -300,7 +301,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "archives")
-    write_archives(given(spark, folder, "pages").repartition(width(spark)), path)
+    write_archives(given(spark, folder, "pages"), path)
     return read_archives(spark, path)
 
 
