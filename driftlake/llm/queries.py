@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from driftlake.llm import digest_index, langid, mixing, secrets, simhash, url_rules, warc
+from driftlake.llm import digest_index, langid, mixing, repeats, secrets, simhash, url_rules, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": langid.op1_langid,
@@ -15,6 +15,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": digest_index.op5_exact_dedup,
     "op6_secrets": secrets.op6_secrets,
     "op7_mixing": mixing.op7_mixing,
+    "op8_repeats": repeats.op8_repeats,
     "op9_url_rules": url_rules.op9_url_rules,
 }
 
