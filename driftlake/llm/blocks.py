@@ -63,6 +63,7 @@ class Block:
 
 
 SENT = "bucket int, block long, part int, data binary"
+SUMMARY = "summary"
 ANSWERED = "block long, bucket int, kind string, data binary"
 
 
@@ -99,23 +100,33 @@ def answers(table: pa.Table, kind: str, keys: np.ndarray, buckets: int, dtype) -
     return out
 
 
-def ask(sent: DataFrame, kind: str, reply: Callable[[list[np.ndarray], np.ndarray], list[np.ndarray]], words: int) -> DataFrame:
+def ask(
+    sent: DataFrame,
+    kind: str,
+    reply: Callable[[list[np.ndarray], np.ndarray], list[np.ndarray]],
+    words: int,
+    summary: Callable[[list[np.ndarray]], bytes] | None = None,
+) -> DataFrame:
     """``block, bucket, kind, data`` rows: the answers to ``sent`` (rows of ``SENT``).
 
     ``reply`` gets, for a bucket, the packed 32-bit columns of each block that sent to it
     (``words`` of them, as one array a block of shape words x keys) and the blocks' parts.
+    ``summary`` makes one more row for each bucket, of block -1 and kind ``SUMMARY``.
     """
 
     def answer(table: pa.Table) -> pa.Table:
         parts = table["part"].to_numpy()
         columns = [np.frombuffer(data, np.uint32).reshape(words, -1) for data in table["data"].to_pylist()]
-        done = reply(columns, parts)
+        done = [x.tobytes() for x in reply(columns, parts)]
+        blocks, kinds = table["block"].to_pylist(), [kind] * len(done)
+        if summary:
+            blocks, kinds, done = [*blocks, -1], [*kinds, SUMMARY], [*done, summary(columns)]
         return pa.table(
             {
-                "block": table["block"].cast(pa.int64()),
-                "bucket": table["bucket"].cast(pa.int32()),
-                "kind": pa.array([kind] * len(done), pa.string()),
-                "data": pa.array([x.tobytes() for x in done], pa.binary()),
+                "block": pa.array(blocks, pa.int64()),
+                "bucket": pa.array([table["bucket"][0].as_py()] * len(done), pa.int32()),
+                "kind": pa.array(kinds, pa.string()),
+                "data": pa.array(done, pa.binary()),
             }
         )
 

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from driftlake.llm import digest_index, langid, mixing, repeats, secrets, simhash, url_rules, warc
+from driftlake.llm import digest_index, langid, lm, mixing, repeats, secrets, simhash, url_rules, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": langid.op1_langid,
     "op2_warc": warc.op2_warc,
     "op3_simhash": simhash.op3_simhash,
+    "op4_lm": lm.op4_lm,
     "op5_exact_dedup": digest_index.op5_exact_dedup,
     "op6_secrets": secrets.op6_secrets,
     "op7_mixing": mixing.op7_mixing,
