@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from driftlake.llm import digest_index, langid, lm, mixing, repeats, secrets, simhash, url_rules, warc
+import corpus_pipeline
+from driftlake.llm import decontaminate, digest_index, langid, lm, mixing, repeats, secrets, simhash, url_rules, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": langid.op1_langid,
@@ -18,6 +19,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mixing": mixing.op7_mixing,
     "op8_repeats": repeats.op8_repeats,
     "op9_url_rules": url_rules.op9_url_rules,
+    "op10_decontamination": decontaminate.op10_decontamination,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
