@@ -5,17 +5,18 @@ of a shorter item).  A document is contaminated by an item if some window of as
 as the item has (the whole document if it is shorter) has at least ``SIMILAR`` of its
 shingles in common with it: the sum of the smaller counts over the sum of the larger.
 
-1. Seeds.  A window that similar lacks at most a fifth of the item's shingles, so of any
-   fifth of them and ``SEEDS`` more it has at least ``SEEDS``.  Those of least hash are
-   looked up in the documents; only windows with so many are looked at further.
+1. Seeds.  Every word that a similar window lacks costs it one of the item's shingles, so
+   it lacks at most a fifth as many words as the item has shingles.  The longest words of
+   an item (half of them, or a fifth and ``SEEDS`` more) are looked up in the documents;
+   windows that have all of them but a fifth are looked at further, no others can match.
 2. SimHash.  Windows and items of one length get 64-bit fingerprints, split into
    ``RADIUS + 1`` blocks.  Any two within ``RADIUS`` bits share a block; they are joined on
    blocks and their Hamming distance is taken.  At the least similarity ten bits differ on
    average, three more or less; the radius leaves out about one such pair in a million.
 3. Candidates are verified by their exact similarity.
 
-All of it is DataFrame functions.  The texts are read twice and not shuffled unless the
-seeds' documents are too many for the planner to broadcast their ids; then once.
+All of it is DataFrame functions.  The texts are read twice; the second time they are
+shuffled once, to meet their windows.
 
 Defined results: documents and items that are null or have no words match nothing; items
 with the same id are all looked for.  Ties go to the first window.  A repeated row of the
@@ -28,6 +29,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from driftlake.llm.common import given, whole, written
 
@@ -62,20 +64,22 @@ def _sizes(items: DataFrame) -> list[int]:
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
-    """``item_id, length, size, shingles`` of the items that have words."""
+    """``item_id, words, length, size, shingles, item`` of the items that have words."""
     named = benchmark.select("item_id", words_of(whole("text")).alias("words")).filter(F.size("words") > 0)
     named = written(named, "benchmark-words")
     parts = [
         named.filter(F.least(F.size("words"), F.lit(WORDS)) == size).select(
-            "item_id", F.size("words").alias("length"), F.lit(size).alias("size"), shingles_of("words", size).alias("shingles")
-        )
+            "item_id", "words", F.size("words").alias("length"), F.lit(size).alias("size"),
+            shingles_of("words", size).alias("shingles"),
+        )
         for size in _sizes(named)
     ]
     if not parts:
         parts = [
             named.select(
-                "item_id", F.lit(0).alias("length"), F.lit(0).alias("size"), F.array().cast("array<bigint>").alias("shingles")
-            )
+                "item_id", "words", F.lit(0).alias("length"), F.lit(0).alias("size"),
+                F.array().cast("array<bigint>").alias("shingles"),
+            )
         ]
     item = F.xxhash64("item_id", "shingles")
     return written(reduce(DataFrame.unionByName, parts).withColumn("item", item).dropDuplicates(["item"]), "benchmark-items")
@@ -98,46 +102,62 @@ def _blocks(prints: DataFrame) -> DataFrame:
 
 def _seeded_windows(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     """``doc_id, own, length, start, shingles`` of the windows with enough seeds of some item."""
-    own_items = items.filter(F.col("size") == size)
-    wanted = F.floor(F.size("shingles") * (1 - SIMILAR)) + SEEDS
-    seeds = written(
-        own_items.select(
-            "item", "length", "shingles",
-            F.explode(F.slice(F.array_sort("shingles"), F.lit(1), wanted.cast("int"))).alias("seed"),
+    least_lost = F.floor(F.size("shingles") * (1 - SIMILAR) + 1e-9).cast("int")
+    longest = F.array_sort(
+        F.transform(F.array_distinct("words"), lambda word: F.struct(-F.length(word), word.alias("word")))
+    )
+    wanted = F.greatest(F.ceil(F.size(F.array_distinct("words")) / 2).cast("int"), F.col("lost") + SEEDS)
+    seeds = (
+        items.filter(F.col("size") == size)
+        .withColumn("lost", least_lost)
+        .select("item", "length", "lost", F.slice(longest, F.lit(1), wanted).alias("chosen"))
+        .select(
+            "item", "length",
+            F.greatest(F.size("chosen") - F.col("lost"), F.lit(1)).alias("needed"),
+            F.explode(F.transform("chosen", lambda x: F.xxhash64(x["word"]))).alias("seed"),
         )
-        .groupBy("item", "length", "seed")
-        .agg(F.count("*").alias("times"), F.least(F.lit(SEEDS), F.size(F.first("shingles"))).alias("needed")),
-        "benchmark-seeds",
     )
-    worded = docs.select(
-        "doc_id", F.xxhash64("doc_id", "text").alias("own"), words_of(whole("text")).alias("words")
-    ).filter(F.size("words") >= size)
-    hashed = worded.select(
-        "doc_id", "own", F.size("words").alias("n_words"), shingles_of("words", size).alias("hashes")
+    seeds = written(seeds, "benchmark-seeds")
+    named = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("own"))
+    found = named.select("own", words_of(whole("text")).alias("words")).select(
+        "own", F.size("words").alias("n_words"), F.posexplode("words").alias("at", "word")
     )
-    found = hashed.select("own", "n_words", F.posexplode("hashes").alias("at", "hash"))
-    hits = found.join(seeds, found["hash"] == seeds["seed"]).select(
-        "own", "item", "length", "times", "needed", "at",
-        F.greatest(F.col("at") - F.col("length") + size, F.lit(0)).alias("low"),
-        F.least(F.col("at"), F.greatest(F.col("n_words") - F.col("length"), F.lit(0))).alias("high"),
+    hits = (
+        found.join(seeds, F.xxhash64("word") == seeds["seed"])
+        .groupBy("own", "item", "length", "needed", "n_words", "at")
+        .agg(F.count("*").alias("rows"))
+        .withColumn("place", F.row_number().over(Window.partitionBy("own", "item").orderBy("at")))
+    )
+    hits = written(hits, "seed-hits")
+    # The last of as many hits as are needed, and the first of them, within an item's length.
+    first = hits.select(
+        F.col("own").alias("f_own"), F.col("item").alias("f_item"), F.col("at").alias("first_at"),
+        (F.col("place") + F.col("needed") - 1).alias("f_place"),
+    )
+    spans = hits.join(
+        first, (F.col("own") == F.col("f_own")) & (F.col("item") == F.col("f_item")) & (F.col("place") == F.col("f_place"))
+    ).select(
+        F.col("own").alias("seeded"), "length",
+        F.greatest(F.col("at") - F.col("length") + 1, F.lit(0)).alias("low"),
+        F.least(F.col("first_at"), F.greatest(F.col("n_words") - F.col("length"), F.lit(0))).alias("high"),
     )
     starts = (
-        hits.filter("low <= high")
-        .select("own", "item", "length", "needed", "times", F.explode(F.sequence("low", "high")).alias("start"))
-        .groupBy("own", "item", "length", "needed", "start")
-        .agg(F.sum("times").alias("seeds"))
-        .filter("seeds >= needed")
-        .groupBy("own", "length")
+        spans.filter("low <= high")
+        .select("seeded", "length", F.explode(F.sequence("low", "high")).alias("start"))
+        .groupBy("seeded", "length")
         .agg(F.collect_set("start").alias("starts"))
     )
-    starts = written(starts.withColumnRenamed("own", "seeded"), "seeded-windows")
+    starts = written(starts, "seeded-windows").hint("merge")
     return (
-        hashed.join(starts, F.col("own") == F.col("seeded"))
+        named.join(starts, F.col("own") == F.col("seeded"))
+        .select("doc_id", "own", "length", "starts", words_of(whole("text")).alias("words"))
+        .select("doc_id", "own", "length", "starts", shingles_of("words", size).alias("hashes"))
         .select("doc_id", "own", "length", "hashes", F.explode("starts").alias("start"))
         .select(
             "doc_id", "own", "length", "start",
             F.slice("hashes", F.col("start") + 1, F.col("length") - size + 1).alias("shingles"),
         )
+        .filter(F.size("shingles") > 0)
     )
 
 
