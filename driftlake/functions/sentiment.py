@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -34,13 +35,13 @@ def prepare_text(text: Column) -> Column:
 
 def lexicon_words(text: Column, positive: Sequence[str], negative: Sequence[str]) -> Column:
     """The lexicon's words in the whole text, in one pass over it."""
-    words = "|".join([*positive, *negative])
+    words = "|".join(re.escape(word.lower()) for word in [*positive, *negative])
     return F.regexp_extract_all(F.lower(text), F.lit(rf"(?<![a-z])({words})(?![a-z])"), F.lit(1))
 
 
 def words_lead(found: Column, positive: Sequence[str]) -> Column:
     """Positive minus negative words."""
-    hits = F.filter(found, lambda word: word.isin(list(positive)))
+    hits = F.filter(found, lambda word: word.isin([known.lower() for known in positive]))
     return F.size(hits) * F.lit(2) - F.size(found)
 
 

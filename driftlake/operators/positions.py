@@ -64,8 +64,10 @@ def with_lookback(
     """Evaluate window columns that look at most ``rows_back`` rows back in a key's order.
 
     ``columns`` maps a name to a function from a window to a column.  Each slice of
-    ``slice_rows`` positions also gets the rows just before it, for reading only.
+    ``slice_rows`` positions also gets the rows just before it, for reading only; slices
+    are never shorter than that look-back.
     """
+    slice_rows = max(slice_rows, rows_back)
     place = F.col(position) - F.lit(1)
     own = F.floor(place / F.lit(slice_rows))
     carried = F.when(F.pmod(place, F.lit(slice_rows)) >= slice_rows - rows_back, own + F.lit(1))

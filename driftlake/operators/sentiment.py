@@ -98,5 +98,5 @@ def score_with_model(
         (F.current_timestamp() if stamp is None else stamp).alias("ingested_at"),
     )
     if partitions:
-        narrow = narrow.coalesce(partitions)
+        narrow = narrow.repartition(partitions)
     return narrow.mapInPandas(make_scorer(loader, key), TABLES["core_post_sentiment"].schema)

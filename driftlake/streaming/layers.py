@@ -47,7 +47,7 @@ def append_stream(df: DataFrame, spec: TableSpec, lake: Lake, config: LayerConfi
     """Append a stream to a lake table, in its day partitions."""
     rows = with_day(df.select(*spec.schema.names), spec)
     if config.write_tasks:
-        rows = rows.coalesce(config.write_tasks)
+        rows = rows.repartition(config.write_tasks)
     return (
         rows.writeStream.format("parquet")
         .outputMode("append")

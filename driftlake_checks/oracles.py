@@ -87,7 +87,7 @@ WITH ev AS (
     CASE WHEN NOT gone AND event_id % 6 = 0 THEN ['tag' || event_id % 7] END AS tags,
     staged_at AS ingested_at, core_at, scored_at
   FROM parts
-), core_posts AS (
+), core_posts AS MATERIALIZED (
   SELECT did, time_us, event_time, rkey, text, created_at,
     coalesce(langs[1], 'unknown') AS primary_lang, is_reply, has_embed, embed_type,
     CASE WHEN is_reply THEN 'reply' WHEN embed_type = 'record' THEN 'quote' WHEN has_embed THEN 'media_post'
@@ -142,7 +142,7 @@ WITH ev AS (
   SELECT CASE event_type WHEN 'click' THEN 'like' ELSE 'repost' END AS event_type, did AS actor_did, subject_uri,
     event_time, time_us, core_at AS ingested_at
   FROM subjects WHERE operation = 'create'
-), leads AS (
+), leads AS MATERIALIZED (
   SELECT *, {_words("text", "'the', 'en'")} - {_words("text", "'of', 'la', 'de'")} AS lead FROM core_posts
 ), core_post_sentiment AS (
   SELECT did, time_us, event_time, rkey, text,

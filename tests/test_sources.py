@@ -78,6 +78,7 @@ def test_wanted_collections_and_accounts(spark):
     )
     feed = events.wanted_collections(raw, ["app.bsky.feed.*"])
     assert sorted(row.did for row in feed.collect()) == ["a", "b", "d"]
+    assert events.wanted_collections(raw, []).count() == raw.count()
     exact = events.wanted_collections(raw, [FOLLOW])
     assert sorted(row.did for row in exact.collect()) == ["c", "d"]
     listed = spark.createDataFrame([("b",), ("zz",)], "did string")
