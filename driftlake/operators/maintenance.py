@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from driftlake.functions.clock import Clock, clock
 from driftlake.operators.positions import running_totals
 from driftlake.schemas import TABLES, TableSpec
-from driftlake.sources.lake import Lake
+from driftlake.sources.lake import BATCH_FILE, Lake
 
 # When a table is compacted, how often, and when its files are unhealthy.
 COMPACT_FILE_COUNT = 500
@@ -155,38 +155,57 @@ def _totals(spark: SparkSession, path: str) -> tuple[int, int]:
     return row["files"], row["bytes"]
 
 
+def settled_files(lake: Lake, spec: TableSpec, settled_before: datetime | None = None) -> DataFrame:
+    """The files no writer may still replace, with their ``day`` and ``folder``.
+
+    The newest micro-batch of each stream may run again, so its files are left out.  Where
+    other streams read the table, ``settled_before`` is a time up to which they have read
+    it: files written later are left out too.
+    """
+    files = list_files(lake.spark, lake.path(spec.name)).select(
+        "*",
+        F.regexp_extract("path", f"{spec.date_column}=([0-9-]+)", 1).alias("day"),
+        F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"),
+        F.regexp_extract("path", BATCH_FILE, 1).alias("writer"),
+        F.regexp_extract("path", BATCH_FILE, 2).alias("batch"),
+    )
+    newest = files.groupBy("writer").agg(F.max("batch").alias("newest"))
+    settled = files.join(newest, "writer").filter((F.col("writer") == "") | (F.col("batch") < F.col("newest")))
+    if settled_before is not None:
+        settled = settled.filter(F.col("modified_at") < F.lit(settled_before))
+    return settled.select("path", "bytes", "day", "folder")
+
+
+def fragmented(files: DataFrame, target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
+    """Folders with two or more files well below the target size, with those files."""
+    small = files.filter(F.col("bytes") < F.lit(target_bytes * SMALL_SHARE))
+    crowded = small.groupBy("day", "folder").agg(F.collect_list("path").alias("paths"), F.sum("bytes").alias("bytes"))
+    return crowded.filter(F.size("paths") >= COMPACT_MIN_FILES)
+
+
 def fragmented_days(lake: Lake, spec: TableSpec, target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
     """Days with a partition that holds two or more files well below the target size."""
-    files = list_files(lake.spark, lake.path(spec.name))
-    day = F.regexp_extract("path", f"{spec.date_column}=([0-9-]+)", 1)
-    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
-    small = files.filter(F.col("bytes") < F.lit(target_bytes * SMALL_SHARE))
-    crowded = small.groupBy(day.alias("day"), folder.alias("folder")).agg(F.count(F.lit(1)).alias("small_files"))
-    return crowded.filter(F.col("small_files") >= COMPACT_MIN_FILES).select("day").distinct()
+    return fragmented(settled_files(lake, spec), target_bytes).select("day").distinct()
 
 
-def compact_table(lake: Lake, spec: TableSpec, target_bytes: int = TARGET_FILE_BYTES) -> dict[str, object]:
-    """Rewrite the fragmented days into files of about ``target_bytes``, sorted as before.
+def compact_table(
+    lake: Lake, spec: TableSpec, target_bytes: int = TARGET_FILE_BYTES, settled_before: datetime | None = None
+) -> dict[str, object]:
+    """Rewrite small files, folder by folder, into files of about ``target_bytes``, sorted as before.
 
-    Days that are in shape are neither read nor written.  Pause the table's batch writers
-    meanwhile; a table a stream writes to is compacted into another lake instead
-    (``Lake.publish_days``).
+    Files in shape are neither read nor written.  Writers may go on: only files listed at
+    the start are replaced, and of each stream's files none of its newest batch
+    (``settled_files``).  File names come to the driver one folder at a time.
     """
     lake.require_batch(spec.name)
+    lake.finish_swaps(spec)
     spark = lake.spark
     files_before, bytes_before = _totals(spark, lake.path(spec.name))
-    # One short string per day.
-    days = sorted(row["day"] for row in fragmented_days(lake, spec, target_bytes).collect())
-    if days:
-        chosen = F.col(spec.date_column).isin([date.fromisoformat(day) for day in days])
-        # AQE splits a partition that is too large for one task into several of this size.
-        setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-        previous = spark.conf.get(setting)
-        spark.conf.set(setting, str(target_bytes))
-        try:
-            lake.replace_days(spec, lake.read(spec.name).filter(chosen))
-        finally:
-            spark.conf.set(setting, previous)
+    days = set()
+    for row in fragmented(settled_files(lake, spec, settled_before), target_bytes).toLocalIterator():
+        rows = lake.read_files(spec, row["paths"]).repartition(max(1, round(row["bytes"] / target_bytes)))
+        lake.swap(spec, rows.sortWithinPartitions(*spec.partitions, spec.time_column), row["paths"])
+        days.add(row["day"])
     files_after, bytes_after = _totals(spark, lake.path(spec.name))
     return {
         "table": spec.name,
@@ -199,7 +218,11 @@ def compact_table(lake: Lake, spec: TableSpec, target_bytes: int = TARGET_FILE_B
 
 
 def run_maintenance(
-    lake: Lake, log: DataFrame, as_of: datetime, tables: Sequence[str] | None = None
+    lake: Lake,
+    log: DataFrame,
+    as_of: datetime,
+    tables: Sequence[str] | None = None,
+    settled_before: datetime | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Compact the tables that need it, one after another.
 
@@ -210,7 +233,7 @@ def run_maintenance(
     stats = file_stats(spark, {name: lake.path(name) for name in lake})
     chosen = select_for_compaction(stats, log, as_of, tables).filter("selected").select("table")
     names = [row["table"] for row in chosen.orderBy("table").collect()]
-    rows = [compact_table(lake, TABLES[name]) for name in names]
+    rows = [compact_table(lake, TABLES[name], settled_before=settled_before) for name in names]
     report = spark.createDataFrame(
         [tuple(row.values()) for row in rows],
         "table string, files_before bigint, files_after bigint, bytes_before bigint, bytes_after bigint,"
@@ -228,6 +251,7 @@ def expired_days(days: Sequence[str], as_of: datetime, retain_days: int = RETAIN
 
 def apply_retention(lake: Lake, spec: TableSpec, as_of: datetime, retain_days: int = RETAIN_DAYS) -> list[str]:
     """Delete the expired day partitions; returns the days that went."""
+    lake.finish_swaps(spec)
     gone = expired_days(lake.days(spec), as_of, retain_days)
     lake.drop_days(spec, gone)
     return gone

@@ -1,13 +1,17 @@
 """Lake tables on parquet directories, partitioned by day.
 
-A table lives in ``root/name``.  Batch writers append to it; a table a stream writes to
-belongs to that stream, whose log says which files count.  Days are cut in the session's
-time zone, which ``driftlake.session`` pins to UTC.
+A table lives in ``root/name``, day folders outermost, for batch and stream writers alike.
+A micro-batch's files carry the batch in their names, so a batch that runs again is known
+and leaves the first run's files.  Rewritten files are named ``packed-``; streams that read the table
+skip them, their rows came by earlier.  Days are cut in the session's time zone, which
+``driftlake.session`` pins to UTC.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -17,6 +21,14 @@ from pyspark.sql import functions as F
 from driftlake.schemas import TABLES, TableSpec
 
 
+# Where files wait until they are complete; readers skip the folder.
+STAGING = "_staging"
+PACKED = "packed-"
+
+# The writer and the number of the micro-batch in a file's path.
+BATCH_FILE = "/part-b([0-9a-f]{8})-([0-9]{12})-[^/]*$"
+
+
 def with_day(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.withColumn(spec.date_column, F.to_date(spec.time_column))
 
@@ -81,16 +93,118 @@ class Lake(Mapping):
             self.path(spec.name)
         )
 
-    def replace_days(self, spec: TableSpec, df: DataFrame, files_per_day: int | None = None) -> None:
-        """Write the rows in place of the partitions they fall in; others stay as they are.
+    def writer(self, checkpoint: str) -> str:
+        """A short name for the stream whose progress is in ``checkpoint``; another checkpoint, another name."""
+        fs, identity = self._fs(os.path.join(checkpoint, "metadata"))
+        stream = fs.open(identity)
+        content = bytes(stream.readAllBytes())
+        stream.close()
+        return hashlib.sha256(content).hexdigest()[:8]
+
+    def write_batch(
+        self, spec: TableSpec, df: DataFrame, writer: str, batch_id: int, files_per_day: int | None = None
+    ) -> None:
+        """Append one micro-batch, for ``foreachBatch``.
 
-        The new files are staged and take the old ones' place when all are written.
+        A batch that runs again finishes what its first run had staged whole, and writes
+        nothing if that was in place: streams that read the table see each file once.  With
+        ``files_per_day`` a partition gets at most that many files; without it the rows are
+        written from where they are.  Either way each file is sorted.
         """
         self.require_batch(spec.name)
-        rows = df.select(*spec.schema.names)
-        laid_out(rows, spec, files_per_day).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(*spec.partitions).parquet(self.path(spec.name))
+        tag = f"part-b{writer}-{batch_id:012d}-"
+        staged = os.path.join(self.path(spec.name), STAGING, tag)
+        if not self._exists(os.path.join(staged, "_SUCCESS")):
+            fs, earlier = self._fs(os.path.join(self.path(spec.name), *["*"] * len(spec.partitions), f"{tag}*"))
+            if fs.globStatus(earlier):
+                return
+            rows = df.select(*spec.schema.names)
+            if files_per_day is None:
+                rows = with_day(rows, spec).sortWithinPartitions(*spec.partitions, spec.time_column)
+            else:
+                rows = laid_out(rows, spec, files_per_day)
+            self._staged(spec, tag, rows)
+        self._move_in(spec, staged, tag)
+
+    def _staged(self, spec: TableSpec, tag: str, rows: DataFrame) -> None:
+        staged = os.path.join(self.path(spec.name), STAGING, tag)
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(*spec.partitions).parquet(staged)
+
+    def _move_in(self, spec: TableSpec, staged: str, tag: str) -> None:
+        """Move the staged files to the table, with ``tag`` before their names."""
+        fs, source = self._fs(staged)
+        if not fs.exists(source):
+            return
+        found = fs.listFiles(source, True)
+        files = []
+        while found.hasNext():
+            files.append(found.next().getPath())
+        for file in files:
+            if file.getName().endswith(".parquet"):
+                folder = file.getParent().toString().removeprefix(fs.makeQualified(source).toString()).strip("/")
+                _, target = self._fs(os.path.join(self.path(spec.name), folder))
+                fs.mkdirs(target)
+                _, named = self._fs(f"{target.toString()}/{tag}{file.getName()}")
+                if not fs.rename(file, named):
+                    raise OSError(f"could not move {file.toString()} to {named.toString()}")
+        fs.delete(source, True)
+
+    def swap(self, spec: TableSpec, rows: DataFrame, old: Sequence[str]) -> None:
+        """Put ``rows`` in the place of the files ``old``.
+
+        The new files are complete, and the swap is noted, before anything changes; rows are
+        never missing, though a reader amid the swap may see both.  One that breaks off is
+        undone by nothing and finished by ``finish_swaps``.
+        """
+        tag = f"{PACKED}{uuid.uuid4().hex}-"
+        self._staged(spec, tag, rows)
+        # Renamed when written: a note is there whole or not at all.
+        draft, note = (os.path.join(self.path(spec.name), STAGING, tag + end) for end in ("draft", "note"))
+        fs, open_draft = self._fs(draft)
+        stream = fs.create(open_draft, True)
+        stream.write(bytearray("\n".join(old).encode()))
+        stream.close()
+        if not fs.rename(open_draft, self._fs(note)[1]):
+            raise OSError(f"could not note the swap {note}")
+        self._finish(spec, tag)
+
+    def _finish(self, spec: TableSpec, tag: str) -> None:
+        staging = os.path.join(self.path(spec.name), STAGING)
+        fs, note = self._fs(os.path.join(staging, tag + "note"))
+        stream = fs.open(note)
+        old = bytes(stream.readAllBytes()).decode().split("\n")
+        stream.close()
+        self._move_in(spec, os.path.join(staging, tag), tag)
+        for path in filter(None, old):
+            fs.delete(self._fs(path)[1], False)
+        fs.delete(note, False)
+
+    def finish_swaps(self, spec: TableSpec) -> int:
+        """Finish swaps that broke off; returns how many there were."""
+        fs, notes = self._fs(os.path.join(self.path(spec.name), STAGING, f"{PACKED}*-note"))
+        tags = [status.getPath().getName().removesuffix("note") for status in fs.globStatus(notes) or []]
+        for tag in tags:
+            self._finish(spec, tag)
+        return len(tags)
+
+    def replace_days(self, spec: TableSpec, df: DataFrame, days: Sequence[str], files_per_day: int | None = None) -> None:
+        """Put rows in the place of whole days, given as ``YYYY-MM-DD``; other days stay as they are."""
+        self.require_batch(spec.name)
+        self.finish_swaps(spec)
+        old = []
+        for day in days:
+            fs, folder = self._fs(os.path.join(self.path(spec.name), f"{spec.date_column}={day}"))
+            if fs.exists(folder):
+                found = fs.listFiles(folder, True)
+                while found.hasNext():
+                    old.append(found.next().getPath().toString())
+        self.swap(spec, laid_out(df.select(*spec.schema.names), spec, files_per_day), old)
+
+    def read_files(self, spec: TableSpec, files: Sequence[str]) -> DataFrame:
+        """The rows of some of the table's files."""
+        reader = self.spark.read.schema(spec.stored_schema).option("basePath", self.path(spec.name))
+        return reader.parquet(*files).select(*spec.columns)
 
     def drop_days(self, spec: TableSpec, days: Sequence[str]) -> None:
         """Delete whole day partitions; no row is read."""
@@ -115,17 +229,18 @@ class Lake(Mapping):
     ) -> None:
         """Copy whole days to another lake in few, sorted files.
 
-        The days' partitions are replaced there, so publishing a day again, with rows that
-        came late, leaves no duplicates.  The way to compact a table a stream writes to.
+        The days are replaced there, so publishing a day again, with rows that came late,
+        leaves no duplicates.
         """
         target.ensure_table(spec)
-        days = F.col(spec.date_column).between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))
-        target.replace_days(spec, self.read(spec.name).filter(days), files_per_day)
+        bounds = F.col(spec.date_column).between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))
+        days = [day for day in target.days(spec) if first_day <= day <= last_day]
+        target.replace_days(spec, self.read(spec.name).filter(bounds), days, files_per_day)
 
     def stream(self, name: str, max_files: int | None = None, max_bytes: str | None = None) -> DataFrame:
-        """The table as a stream of newly added files."""
+        """The table as a stream of newly added files; rewritten ones bring nothing new."""
         spec = TABLES[name]
-        reader = self.spark.readStream.schema(spec.stored_schema)
+        reader = self.spark.readStream.schema(spec.stored_schema).option("pathGlobFilter", "part-*")
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
         if max_bytes:

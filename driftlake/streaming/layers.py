@@ -1,8 +1,9 @@
 """Raw, staging, core and sentiment layers as streams between lake tables.
 
-Each target table has its own file-sink query: the sink's log makes every micro-batch
-appear exactly once, also after a restart from the checkpoint.  A query reads only its
-record type's partition of the raw table.
+Each target table has its own query.  A micro-batch that runs again after a restart from
+the checkpoint keeps its first run's files, so it appears exactly once, and the table stays
+open to compaction and retention.  A query reads only its record type's partition of
+the raw table.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from driftlake.functions.sentiment import NEGATIVE_WORDS, POSITIVE_WORDS
 from driftlake.operators import core, sentiment, staging
 from driftlake.schemas import LIKE, RAW_EVENTS, REPOST, ROUTES, TABLES, TableSpec
 from driftlake.sources.events import read_events_stream, to_raw_events
-from driftlake.sources.lake import Lake, with_day
+from driftlake.sources.lake import Lake
 
 # Fixed value: how often each layer looks for new input.
 TRIGGER = "5 seconds"
@@ -45,15 +46,15 @@ class LayerConfig:
 
 def append_stream(df: DataFrame, spec: TableSpec, lake: Lake, config: LayerConfig) -> StreamingQuery:
     """Append a stream to a lake table, in its day partitions."""
-    rows = with_day(df.select(*spec.schema.names), spec)
-    if config.write_tasks:
-        rows = rows.repartition(config.write_tasks)
+    checkpoint = os.path.join(config.checkpoints, spec.name)
+    lake.ensure_table(spec)
     return (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", lake.path(spec.name))
-        .option("checkpointLocation", os.path.join(config.checkpoints, spec.name))
-        .partitionBy(*spec.partitions)
+        df.writeStream.foreachBatch(
+            lambda batch, batch_id: lake.write_batch(
+                spec, batch, lake.writer(checkpoint), batch_id, config.write_tasks
+            )
+        )
+        .option("checkpointLocation", checkpoint)
         .queryName(f"to_{spec.name}")
         .trigger(**config.trigger_options())
         .start()
@@ -134,22 +135,16 @@ def run_layers(spark: SparkSession, config: LayerConfig) -> list[StreamingQuery]
     return started
 
 
-def route_batch(lake: Lake, batch: DataFrame, batch_id: int) -> None:
+def route_batch(lake: Lake, batch: DataFrame, batch_id: int, writer: str = "0" * 8) -> None:
     """One raw micro-batch to all staging tables, for ``foreachBatch``.
 
-    Rows are written below a folder of the batch's own number and overwrite it, so a batch
-    that runs again leaves no duplicates.  The batch is kept for the six writes and no
-    counts or emptiness checks run it again.
+    A batch that runs again leaves no duplicates.  The batch is kept for the six writes and
+    no counts or emptiness checks run it again.
     """
     batch.persist()
     try:
         for name, build in staging.STAGING.items():
-            spec = TABLES[name]
-            rows = with_day(build(batch), spec)
-            target = os.path.join(lake.path(name), f"batch_id={batch_id}")
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-                *spec.partitions
-            ).parquet(target)
+            lake.write_batch(TABLES[name], build(batch), writer, batch_id)
     finally:
         batch.unpersist()
 
@@ -161,7 +156,7 @@ def start_router(
     for name in staging.STAGING:
         lake.ensure_table(TABLES[name])
     return (
-        raw_events.writeStream.foreachBatch(lambda batch, batch_id: route_batch(lake, batch, batch_id))
+        raw_events.writeStream.foreachBatch(lambda batch, batch_id: route_batch(lake, batch, batch_id, lake.writer(checkpoint)))
         .option("checkpointLocation", checkpoint)
         .queryName("to_staging")
         .trigger(**trigger)
