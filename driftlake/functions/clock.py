@@ -63,3 +63,11 @@ def time_range(
         if partitioned:
             df = df.filter(F.col(day) <= F.to_date(until))
     return df
+
+
+def newest_day(df: DataFrame, column: str) -> DataFrame:
+    """The newest day partition, where the table carries the derived day; else the table."""
+    day = date_column(column)
+    if day not in df.columns:
+        return df
+    return df.filter(F.col(day) == df.agg(F.max(day)).scalar())

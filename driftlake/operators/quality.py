@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftlake.functions.clock import Clock, ago, clock, seconds_between
+from driftlake.functions.clock import Clock, ago, clock, newest_day, seconds_between
 from driftlake.schemas import BLOCK, FOLLOW, KINDS, LIKE, POST, PROFILE, REPOST, ROUTES
 
 # Limits of the freshness and completeness rules.
@@ -53,9 +53,10 @@ def freshness(newest: DataFrame, name: str, limit_s: float, as_of: Clock = None)
 
 def lake_freshness(tables: Mapping[str, DataFrame], as_of: Clock = None) -> DataFrame:
     """Freshness of the raw table and of the hashtag mart's newest minute."""
-    raw = tables["raw_events"].agg(F.max("ingested_at"))
+    raw = newest_day(tables["raw_events"], "ingested_at").agg(F.max("ingested_at"))
     # The newest minute of the mart is the minute of the newest row: no need to build it.
-    mart = tables["core_hashtags"].agg(F.date_trunc("minute", F.max("event_time")).alias("newest"))
+    tags = newest_day(tables["core_hashtags"], "event_time")
+    mart = tags.agg(F.date_trunc("minute", F.max("event_time")).alias("newest"))
     return freshness(raw, "quality.raw_events.freshness_s", RAW_FRESHNESS_S, as_of).unionByName(
         freshness(mart, "quality.mart_trending_hashtags.freshness_s", MART_FRESHNESS_S, as_of)
     )

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftlake.functions import severity
-from driftlake.functions.clock import Clock, ago, clock, seconds_between
+from driftlake.functions.clock import Clock, ago, clock, micros_to_timestamp, seconds_between, time_range
 from driftlake.functions.severity import Zone
 from driftlake.operators.positions import trailing_totals, with_lookback, with_position
 from driftlake.schemas import BLOCK, FOLLOW, LIKE, POST, PROFILE, REPOST
@@ -28,6 +28,10 @@ ACTION_WINDOW_S = 300
 ROLLING_WINDOW_S = 300
 ROLLING_MIN_SAMPLES = 3
 TRIGGERS = ("breach", "error")
+LAYERS = ("l1", "l2", "l3")
+# Reasons as the monitor words them.
+L1_GATE = "layer gate: L1 breached"
+L2_GATE = "layer gate: L1/L2 breached"
 
 # Limit of each metric and what lies beyond it.
 THRESHOLDS: tuple[tuple[str, str, float, str], ...] = (
@@ -82,7 +86,7 @@ STAGES: dict[str, Stage] = {
 
 # -- metrics over the lake -------------------------------------------------------------
 def _rate(df: DataFrame, as_of: Clock, seconds: int, name: str) -> DataFrame:
-    recent = df.filter(F.col("ingested_at") >= ago(as_of, seconds=seconds))
+    recent = time_range(df, "ingested_at", ago(as_of, seconds=seconds))
     return recent.agg((F.count(F.lit(1)) / F.lit(float(seconds))).alias("value_num")).select(
         F.lit(name).alias("check_name"), "value_num"
     )
@@ -112,9 +116,18 @@ def _from_oldest_of(table: DataFrame, recent: DataFrame) -> DataFrame:
     """The part of a table that can match the recent rows.
 
     Their oldest ``time_us`` becomes a scalar in the scan's pushed filters, so row groups
-    from before it are skipped instead of joined.
+    from before it are skipped instead of joined.  Day partitions are pruned by it as well:
+    an event's day is that of its ``time_us``, and it arrives that day or later (a day is
+    left for clocks that disagree).
     """
-    return table.filter(F.col("time_us") >= recent.agg(F.min("time_us")).scalar())
+    oldest = recent.agg(F.min("time_us")).scalar()
+    table = table.filter(F.col("time_us") >= oldest)
+    day = F.to_date(micros_to_timestamp(oldest))
+    if "event_date" in table.columns:
+        table = table.filter(F.col("event_date") >= day)
+    if "ingested_date" in table.columns:
+        table = table.filter(F.col("ingested_date") >= F.date_sub(day, 1))
+    return table
 
 
 def _lag(recent: DataFrame, upstream: DataFrame, name: str) -> DataFrame:
@@ -227,23 +240,33 @@ def recent_history(history: DataFrame, as_of_ts: int | Column, window_s: int) ->
     return history.filter(F.col("ts") >= floor)
 
 
+def _floors(history: DataFrame, width_s: int, count: int) -> DataFrame:
+    """Per check, where the ``width_s`` seconds begin that hold its ``count``-th newest result.
+
+    Results are counted per span before any check meets its other spans.
+    """
+    spans = history.groupBy("check_name", (F.col("ts") - F.pmod("ts", F.lit(width_s))).alias("_floor")).agg(
+        F.count(F.lit(1)).alias("_rows")
+    )
+    newer = Window.partitionBy("check_name").orderBy(F.desc("_floor")).rowsBetween(Window.unboundedPreceding, -1)
+    reached = spans.withColumn("_newer", F.coalesce(F.sum("_rows").over(newer), F.lit(0)))
+    return reached.filter(F.col("_newer") < count).groupBy("check_name").agg(F.min("_floor").alias("_floor"))
+
+
+def _above(history: DataFrame, floors: DataFrame) -> DataFrame:
+    return history.join(floors, "check_name").filter(F.col("ts") >= F.col("_floor")).select(*history.columns)
+
+
 def last_results(history: DataFrame, count: int) -> DataFrame:
     """Each check's last ``count`` results, ``recency`` 1 being the newest.
 
-    For the usual small counts Spark cuts each input partition down to ``count`` rows per
-    check before the shuffle.  It does not for large ones; there the results are numbered
-    without gathering a check.
+    Counts per day, then per second of what is left, say from when on a check's rows can
+    be among them.  Only those are ordered: ``count`` rows and the rest of one second.
     """
-    limit = int(history.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if count <= limit:
-        order = Window.partitionBy("check_name").orderBy(F.desc("ts"), F.desc("seq"))
-        ranked = history.withColumn("recency", F.row_number().over(order))
-        return ranked.filter(F.col("recency") <= count)
-    placed = with_position(history, ["check_name"], ["ts", "seq"])
-    totals = placed.groupBy("check_name").agg(F.max("position").alias("_total"))
-    ranked = placed.join(totals, "check_name").select(
-        *history.columns, (F.col("_total") - F.col("position") + 1).cast("int").alias("recency")
-    )
+    recent = _above(history, _floors(history, 86_400, count))
+    recent = _above(recent, _floors(recent, 1, count))
+    order = Window.partitionBy("check_name").orderBy(F.desc("ts"), F.desc("seq"))
+    ranked = recent.select(*history.columns, F.row_number().over(order).alias("recency"))
     return ranked.filter(F.col("recency") <= count)
 
 
@@ -317,8 +340,8 @@ def layer_gates(results: DataFrame) -> DataFrame:
     ran = first.select("cycle", "l1", (F.col("l2") & ~F.col("l1")).alias("l2"))
     gates = _fold_cycles(ran, F.struct("cycle", "l1", "l2"), F.struct(following, none.alias("l1"), "l2"))
     joined = results.join(gates, "cycle", "left")
-    reason = F.when((F.col("layer") == "l2") & F.col("l1"), "layer gate: L1 breached").when(
-        (F.col("layer") == "l3") & (F.col("l1") | F.col("l2")), "layer gate: L1/L2 breached"
+    reason = F.when((F.col("layer") == "l2") & F.col("l1"), L1_GATE).when(
+        (F.col("layer") == "l3") & (F.col("l1") | F.col("l2")), L2_GATE
     )
     return joined.select(
         *results.columns,
@@ -328,7 +351,11 @@ def layer_gates(results: DataFrame) -> DataFrame:
 
 
 def dependency_skips(results: DataFrame, dependencies: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Results to skip because a check they depend on failed in the cycle before."""
+    """Results to skip because a check they depend on failed in the cycle before.
+
+    ``status`` is taken as recorded: a check recorded as ``skip`` did not fail.  Where raw
+    statuses are at hand, ``cycle_verdicts`` also applies the gates and follows chains.
+    """
     pairs = [(name, dep) for name, deps in dependencies.items() for dep in deps]
     wanted = results.sparkSession.createDataFrame(pairs, "dependency_of string, check_name string")
     failed = results.filter(_is_trigger()).select("cycle", "check_name").distinct()
@@ -340,6 +367,92 @@ def dependency_skips(results: DataFrame, dependencies: Mapping[str, Sequence[str
     return results.join(skipped, ["cycle", "check_name"], "left_semi")
 
 
+def _reach(layers: Mapping[str, str], dependencies: Mapping[str, Sequence[str]]) -> int:
+    """How many cycles back a verdict can depend on; dependencies must not lead in circles."""
+
+    def depth(name: str, path: tuple[str, ...] = ()) -> int:
+        if name in path:
+            raise ValueError(f"dependencies lead in a circle: {' > '.join((*path, name))}")
+        return 1 + max((depth(dep, (*path, name)) for dep in dependencies.get(name, ())), default=0)
+
+    for name, deps in dependencies.items():
+        for dep in deps:
+            if layers[dep] > layers[name]:
+                raise ValueError(f"{name} depends on {dep}, which is in a higher layer and gated by it")
+    longest = max((depth(name) for name in dependencies), default=1)
+    return longest * len(LAYERS)
+
+
+def cycle_verdicts(
+    results: DataFrame, layers: Mapping[str, str], dependencies: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """Status of each result after layer gates and dependencies, and why it is skipped.
+
+    ``results`` has ``cycle`` (consecutive numbers), ``check_name``, ``layer`` and raw
+    ``status``.  A check is skipped when a layer below failed in this cycle or the one
+    before; else when one it depends on failed in the cycle before.  What is skipped did
+    not fail, for gates and dependencies alike, so a verdict rests on earlier verdicts: as
+    many cycles back as there are layers times links in the longest chain.  Failing check
+    names (a set per cycle) are sent that many cycles ahead and walked there; results meet
+    them by one join on the cycle.
+    """
+    back = _reach(layers, dependencies)
+    failed = results.filter(_is_trigger()).groupBy("cycle").agg(
+        F.array_sort(F.collect_set(F.struct("layer", "check_name"))).alias("failed")
+    )
+    ahead = failed.select(F.explode(F.sequence(F.lit(0), F.lit(back))).alias("ago"), "cycle", "failed")
+    seen = ahead.groupBy((F.col("cycle") + F.col("ago")).alias("cycle")).agg(
+        F.map_from_entries(F.collect_list(F.struct("ago", "failed"))).alias("by_ago")
+    )
+    none = F.expr("CAST(array() AS array<struct<layer:string,check_name:string>>)")
+    needs = F.map_from_arrays(
+        F.array(*[F.lit(name) for name in dependencies]).cast("array<string>"),
+        F.array(*[F.array(*[F.lit(dep) for dep in deps]) for deps in dependencies.values()]).cast(
+            "array<array<string>>"
+        ),
+    )
+
+    def held(check: Column, before: Column) -> Column:
+        """A check it depends on failed in the cycle before."""
+        names = F.transform(before, lambda x: x["check_name"])
+        return F.coalesce(F.arrays_overlap(F.try_element_at(needs, check), names), F.lit(False))
+
+    def any_of(failing: Column, layer: str) -> Column:
+        return F.exists(failing, lambda x: x["layer"] == layer)
+
+    def admit(state: Column, check: Column) -> Column:
+        """Checks come lowest layer first, so those that let it run are known."""
+        before, now = state["before"], state["now"]
+
+        def below(failing: Column) -> Column:
+            return F.exists(failing, lambda x: x["layer"] < check["layer"])
+
+        skipped = below(before) | below(now) | held(check["check_name"], before)
+        return F.struct(before.alias("before"), F.when(skipped, now).otherwise(F.concat(now, F.array(check))).alias("now"))
+
+    def walk(state: Column, ago_: Column) -> Column:
+        raw = F.coalesce(F.try_element_at(F.col("by_ago"), ago_), none)
+        return F.aggregate(raw, F.struct(state["now"].alias("before"), none.alias("now")), admit)
+
+    steps = F.sequence(F.lit(back), F.lit(0), F.lit(-1))
+    start = F.struct(none.alias("before"), none.alias("now"))
+    walked = seen.select("cycle", F.aggregate(steps, start, walk).alias("_walked"))
+    joined = results.join(walked, "cycle", "left")
+    before = F.coalesce("_walked.before", none)
+    now = F.coalesce("_walked.now", none)
+    low = {layer: any_of(before, layer) | any_of(now, layer) for layer in LAYERS[:2]}
+    reason = (
+        F.when((F.col("layer") == "l2") & low["l1"], L1_GATE)
+        .when((F.col("layer") == "l3") & (low["l1"] | low["l2"]), L2_GATE)
+        .when(held(F.col("check_name"), before), "dependency failed")
+    )
+    return joined.select(
+        *results.columns,
+        reason.alias("reason"),
+        F.when(reason.isNotNull(), "skip").otherwise(F.col("status")).alias("verdict"),
+    )
+
+
 def rolling_mean(
     history: DataFrame, window_s: int = ROLLING_WINDOW_S, low: float | None = None, high: float | None = None
 ) -> DataFrame:

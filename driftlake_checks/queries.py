@@ -102,6 +102,13 @@ def _(tables):
     return wanted.groupBy("collection").agg(F.count(F.lit(1)).alias("events"))
 
 
+@query("source_wanted_collections_all")
+def _(tables):
+    """An empty filter wants everything."""
+    wanted = events.wanted_collections(tables["raw_events"], [])
+    return wanted.groupBy("collection").agg(F.count(F.lit(1)).alias("events"))
+
+
 @query("source_wanted_dids")
 def _(tables):
     """Events of the accounts that carry a supplier's number."""
@@ -630,6 +637,15 @@ def _(tables):
     return telemetry.dependency_skips(_cycles(tables), DEPENDS).select("cycle", "seq", "check_name", "status")
 
 
+# Chains that reach over layers' gates; the layers are those of ``LAYER_OF``.
+CHAINED = {"purchase": ["click"], "error": ["signup", "purchase"]}
+
+
+@query("telemetry_cycle_verdicts")
+def _(tables):
+    return telemetry.cycle_verdicts(_cycles(tables), LAYER_OF, CHAINED)
+
+
 @query("telemetry_cycle_summary")
 def _(tables):
     return plain(telemetry.cycle_summary(_cycles(tables)))
@@ -656,10 +672,11 @@ def _(tables):
 
 
 # -- streams ---------------------------------------------------------------------------
-def _stream_config(tables: FixtureTables, **options) -> layers.LayerConfig:
+def _stream_config(tables: FixtureTables, files: int | None = None, **options) -> layers.LayerConfig:
     """A landing zone with the fixture's event lines, and empty places to write to."""
     root = scratch_path(tables.spark, "stream")
-    tables["raw_events"].select(F.col("raw_json").alias("value")).write.text(f"{root}/landing")
+    lines = tables["raw_events"].select(F.col("raw_json").alias("value"))
+    (lines.repartition(files) if files else lines).write.text(f"{root}/landing")
     return layers.LayerConfig(
         f"{root}/landing", f"{root}/lake", f"{root}/checkpoints", available_now=True,
         lexicon=(POSITIVE, NEGATIVE), **options,
@@ -735,6 +752,53 @@ def _(tables):
     return report
 
 
+def _compacted(lake: Lake, name: str) -> DataFrame:
+    """What a stream wrote, after compaction."""
+    report = maintenance.compact_table(lake, TABLES[name])
+    return lake.read(name).withColumn("fewer_files", F.lit(report["files_after"] < report["files_before"]))
+
+
+@query("maintenance_compact_streamed")
+def _(tables):
+    """The raw table after six micro-batches: same rows in fewer files."""
+    config = _stream_config(tables, files=6, max_files=1)
+    _drain(layers.start_raw(tables.spark, config))
+    done = _compacted(Lake(tables.spark, config.lake_root), "raw_events")
+    return done.select("did", "time_us", "kind", "collection", "operation", "fewer_files")
+
+
+@query("maintenance_compact_routed")
+def _(tables):
+    """The likes table after a micro-batch of the router for each raw file: same rows in fewer files."""
+    config = _stream_config(tables, files=3)
+    _drain(layers.start_raw(tables.spark, config))
+    lake = Lake(tables.spark, config.lake_root)
+    layers.start_router(
+        tables.spark, lake.stream("raw_events", 1), lake, f"{config.checkpoints}/router", availableNow=True
+    ).awaitTermination()
+    return _compacted(lake, "stg_likes").select("did", "time_us", "event_time", "rkey", "operation", "fewer_files")
+
+
+@query("maintenance_retention_streamed")
+def _(tables):
+    """Days a stream wrote that lie before the window are gone."""
+    config = _stream_config(tables, files=3, max_files=1)
+    stamp = F.get_json_object("value", "$.time_us").cast("bigint")
+    start = 1_704_067_200_000_000
+    _drain(
+        layers.start_raw(
+            tables.spark, config, ingested_at=F.timestamp_micros(F.lit(start) + (stamp - F.lit(start)) * F.lit(COMPRESSION))
+        )
+    )
+    lake = Lake(tables.spark, config.lake_root)
+    newest = tables.as_of_us - start
+    as_of = tables.as_of - timedelta(microseconds=newest) + timedelta(microseconds=newest * COMPRESSION)
+    maintenance.apply_retention(lake, RAW_EVENTS, as_of, retain_days=10)
+    return lake.read("raw_events").groupBy(F.col(RAW_EVENTS.date_column).alias("day")).agg(
+        F.count(F.lit(1)).alias("events")
+    )
+
+
 @query("stream_dedup")
 def _(tables):
     """Every event landed twice; the stream lets one through."""

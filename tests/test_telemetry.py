@@ -60,21 +60,20 @@ def test_latest_keeps_ties_and_last_n_does_not(spark):
     )
     assert sorted(r.seq for r in telemetry.latest_results(df).collect()) == [2, 3, 4]
     assert sorted(r.seq for r in telemetry.last_results(df, 2).collect()) == [2, 3, 4]
-    plan = telemetry.last_results(df, 2)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
 
 
-def test_many_last_results_are_numbered_without_gathering(spark):
-    data = [(n, n, "ab"[n % 3 == 0], "ok", 0.0) for n in range(300)]
+@pytest.mark.parametrize("count", [1, 3, 50, 5000])
+def test_last_results_on_uneven_checks(spark, count):
+    chance = random.Random(4)
+    data = [(chance.randrange(400_000), n, chance.choice("aaaaab"), "ok", 0.0) for n in range(600)]
+    data += [(400_000, 1000 + n, "a", "ok", 0.0) for n in range(40)]
     df = spark.createDataFrame(data, HISTORY)
-    few = {(r.check_name, r.seq, r.recency) for r in telemetry.last_results(df, 50).collect()}
-    threshold = "spark.sql.optimizer.windowGroupLimitThreshold"
-    spark.conf.set(threshold, "10")
-    try:
-        many = {(r.check_name, r.seq, r.recency) for r in telemetry.last_results(df, 50).collect()}
-    finally:
-        spark.conf.unset(threshold)
-    assert many == few and len(many) == 100
+    got = {(r.check_name, r.seq, r.recency) for r in telemetry.last_results(df, count).collect()}
+    want = set()
+    for check in "ab":
+        own = sorted((row for row in data if row[2] == check), reverse=True)[:count]
+        want |= {(check, row[1], place) for place, row in enumerate(own, 1)}
+    assert got == want
 
 
 def test_history_window_and_retention(spark):
@@ -162,6 +161,69 @@ def test_action_limit_counts_earlier_actions_of_the_same_second(spark):
     }
 
 
+def verdicts_by_walk(results, dependencies):
+    """Cycle by cycle, layer by layer; what is skipped did not fail."""
+    before, out = {}, {}
+    for cycle in range(max(r[0] for r in results) + 1):
+        now = {}
+        for layer in ("l1", "l2", "l3"):
+            for _, check, own, status in [r for r in results if r[0] == cycle and r[2] == layer]:
+                gated = any(low < layer for low in (*before.values(), *now.values()))
+                if gated or any(dep in before for dep in dependencies.get(check, ())):
+                    status = "skip"
+                out[(cycle, check)] = status
+                if status in ("breach", "error"):
+                    now[check] = layer
+        before = now
+    return out
+
+
+@pytest.mark.parametrize("failing", [1, 4])
+def test_cycle_verdicts_follow_the_walk(spark, failing):
+    chance = random.Random(failing)
+    layers = {f"{layer}-{n}": layer for layer in ("l1", "l2", "l3") for n in range(3)}
+    dependencies = {"l1-1": ["l1-0"], "l1-2": ["l1-1"], "l2-1": ["l2-0"], "l2-2": ["l2-1", "l1-2"], "l3-0": ["l3-1", "l2-2"]}
+    words = ["ok"] * 12 + ["warn"] + ["breach", "error"] * failing
+    results = [
+        (cycle, check, layer, chance.choice(words))
+        for cycle in range(150) if cycle % 40 != 7
+        for check, layer in layers.items()
+    ]
+    df = spark.createDataFrame(results, "cycle long, check_name string, layer string, status string")
+    got = {(r.cycle, r.check_name): r.verdict for r in telemetry.cycle_verdicts(df, layers, dependencies).collect()}
+    assert got == verdicts_by_walk(results, dependencies)
+
+
+def test_a_skipped_check_does_not_skip_those_that_depend_on_it(spark):
+    layers, needs = {"a": "l1", "b": "l1", "c": "l1"}, {"a": ["b"], "b": ["c"]}
+    rows = [(1, "a", "ok"), (1, "b", "ok"), (1, "c", "error"), (2, "b", "breach"), (3, "a", "breach"), (3, "b", "ok")]
+    df = spark.createDataFrame([(n, c, layers[c], s) for n, c, s in rows], "cycle long, check_name string, layer string, status string")
+    got = {(r.cycle, r.check_name): (r.verdict, r.reason) for r in telemetry.cycle_verdicts(df, layers, needs).collect()}
+    assert got[(2, "b")] == ("skip", "dependency failed") and got[(3, "a")] == ("breach", None)
+    nothing = telemetry.cycle_verdicts(df, layers, {})
+    assert [r.verdict for r in nothing.collect()].count("skip") == 0
+    with pytest.raises(ValueError, match="circle"):
+        telemetry.cycle_verdicts(df, layers, {"a": ["b"], "b": ["a"]})
+    with pytest.raises(ValueError, match="higher layer"):
+        telemetry.cycle_verdicts(df, {"a": "l1", "b": "l2"}, {"a": ["b"]})
+
+
+def test_monitors_prune_day_partitions(spark, tmp_path, rows):
+    from driftlake.functions.clock import newest_day
+    from driftlake.sources.lake import Lake
+
+    lake = Lake(spark, str(tmp_path))
+    lake.ensure_all()
+    posts = rows("core_posts", {"time_us": 1_704_100_000_000_000}).withColumn("event_time", F.timestamp_micros("time_us"))
+    lake.append(TABLES["core_posts"], posts)
+    lag = telemetry.stage_latency(lake, "post")
+    plan = lag._jdf.queryExecution().executedPlan().toString()
+    assert "ingested_date" in plan.split("PartitionFilters: [", 1)[1].split("]")[0] or "ingested_date#" in plan
+    assert telemetry.input_rate(lake, at("12:00:00")).first().value_num == 0.0
+    assert newest_day(lake["core_posts"], "event_time").count() == 1
+    assert newest_day(lake["core_hashtags"], "event_time").count() == 0
+
+
 def test_cycle_summary(spark):
     rows = [(1, "a", "ok"), (1, "b", "breach"), (2, "a", "error"), (2, "b", "breach"), (3, "a", "skip")]
     df = spark.createDataFrame(rows, "cycle long, check_name string, status string")
