@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftlake.functions.clock import Clock, ago, clock, newest_day, seconds_between
+from driftlake.functions.clock import Clock, ago, clock, newest_day, seconds_between, time_range
 from driftlake.schemas import BLOCK, FOLLOW, KINDS, LIKE, POST, PROFILE, REPOST, ROUTES
 
 # Limits of the freshness and completeness rules.
@@ -184,8 +184,14 @@ def missing_rows(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("did"
     return left.join(right.select(*keys), list(keys), "left_anti")
 
 
-def row_delta(mart: DataFrame, core: DataFrame, measure: str = "count") -> DataFrame:
-    """Difference between a mart's summed counts and the rows of its core table."""
+def row_delta(
+    mart: DataFrame, core: DataFrame, measure: str = "count", since: Column | None = None, column: str = "event_time"
+) -> DataFrame:
+    """Difference between a mart's summed counts and the rows of its core table.
+
+    ``since`` is where the mart's window begins; without it the mart is over all rows.
+    """
+    core = time_range(core, column, since)
     summed = mart.agg(F.coalesce(F.sum(measure), F.lit(0)).alias("n"), F.lit(0).cast("bigint").alias("m"))
     counted = core.agg(F.lit(0).cast("bigint").alias("n"), F.count(F.lit(1)).alias("m"))
     both = summed.unionByName(counted).agg(F.sum("n").alias("mart_rows"), F.sum("m").alias("core_rows"))

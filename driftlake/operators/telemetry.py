@@ -133,13 +133,13 @@ def _from_oldest_of(table: DataFrame, recent: DataFrame) -> DataFrame:
 def _lag(recent: DataFrame, upstream: DataFrame, name: str) -> DataFrame:
     """Average delay of the recent rows behind their upstream rows.
 
-    ``recent`` holds at most the asked number of rows of three columns: it is the side to
-    broadcast, and the upstream table is filtered in place.
+    ``recent`` holds at most the asked number of rows of three columns.  Spark knows that
+    from the limit and chooses the join by it; the upstream table is filtered in place.
     """
     arrived = _from_oldest_of(upstream, recent).select(
         "did", "time_us", F.col("ingested_at").alias("_upstream_at")
     )
-    joined = arrived.join(F.broadcast(recent), ["did", "time_us"])
+    joined = arrived.join(recent, ["did", "time_us"])
     return joined.agg(
         F.count(F.lit(1)).alias("matched"),
         F.avg(seconds_between(F.col("ingested_at"), F.col("_upstream_at"))).alias("value_num"),
@@ -181,7 +181,7 @@ def sentiment_backlog(
     if as_of is not None:
         scored = scored.filter(F.col("ingested_at") <= clock(as_of))
     wanted = _from_oldest_of(scored, recent).select("did", "time_us")
-    keys = wanted.join(F.broadcast(recent), ["did", "time_us"], "left_semi").distinct()
+    keys = wanted.join(recent, ["did", "time_us"], "left_semi").distinct()
     joined = recent.join(keys.withColumn("_scored", F.lit(1)), ["did", "time_us"], "left")
     return joined.agg(
         F.count(F.lit(1)).alias("total"), F.count_if(F.col("_scored").isNull()).alias("unmatched")

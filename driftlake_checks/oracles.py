@@ -7,7 +7,6 @@ documents; each query ends in its own SELECT.
 from __future__ import annotations
 
 from driftlake.functions.records import LINK_PATTERN, MENTION_PATTERN, TAG_PATTERN
-from driftlake.operators.telemetry import THRESHOLDS, ZONES
 from driftlake.schemas import TABLES
 
 # White space as the scorer's text preparation sees it, spelled out for RE2.
@@ -509,7 +508,11 @@ SELECT count(*) AS rows_checked, count(*) FILTER (hit) AS matched, count(*) FILT
 FROM (SELECT EXISTS (SELECT 1 FROM core_mentions m WHERE m.author_did = h.author_did AND m.event_time = h.event_time) AS hit
   FROM core_hashtags h)"""
 SELECTS["quality_mart_delta"] = """
-SELECT count(*) AS mart_rows, count(*) AS core_rows, 0::BIGINT AS delta FROM core_engagement"""
+SELECT mart_rows, core_rows, mart_rows - core_rows AS delta FROM (
+  SELECT sum(count)::BIGINT AS mart_rows FROM (
+    SELECT date_trunc('second', event_time) AS bucket, event_type, count(*) AS count FROM core_engagement, clk
+    WHERE event_time >= as_of - INTERVAL 30 MINUTE GROUP BY ALL)),
+  (SELECT count(*) FILTER (event_time >= as_of + INTERVAL 90 MINUTE - INTERVAL 2 HOUR) AS core_rows FROM core_engagement, clk)"""
 SELECTS["quality_routing"] = """
 SELECT collection, count(*) FILTER (event_id % 53 <> 0 AND event_id % 59 <> 0 AND event_id % 61 <> 0) AS raw_rows,
   count(*) AS staged_rows,
@@ -586,6 +589,35 @@ SELECT count(*) AS total, count(*) FILTER (scored_at > as_of) AS unmatched
 FROM (SELECT * FROM core_posts ORDER BY ingested_at DESC, did, time_us LIMIT 1000), clk"""
 
 
+# Limits and severity zones as the monitor documents them, written out here so
+# that a wrong one in the engine shows.
+_LIMITS = """
+  ('traffic.raw_input_rps', 'min', 50.0::DOUBLE, 'breach'),
+  ('latency.pipeline.post', 'max', 60.0, 'breach'),
+  ('latency.pipeline.like', 'max', 10.0, 'breach'),
+  ('latency.pipeline.repost', 'max', 10.0, 'breach'),
+  ('latency.pipeline.follow', 'max', 10.0, 'breach'),
+  ('latency.pipeline.block', 'max', 10.0, 'breach'),
+  ('latency.pipeline.profile', 'max', 10.0, 'breach'),
+  ('latency.sentiment.lag', 'max', 60.0, 'breach'),
+  ('traffic.sentiment_rps', 'min', 5.0, 'breach'),
+  ('saturation.sentiment_backlog', 'max', 500.0, 'breach'),
+  ('quality.raw_events.freshness_s', 'max', 15.0, 'breach'),
+  ('quality.raw_events.null_did_rate', 'max', 0.001, 'breach'),
+  ('quality.mart_trending_hashtags.freshness_s', 'max', 120.0, 'breach'),
+  ('table.file_count', 'max', 5000.0, 'breach'),
+  ('table.avg_file_kb', 'min', 32.0, 'warn'),
+  ('table.small_file_ratio', 'max', 0.5, 'warn')"""
+_LAGS = [(0, 15, "green"), (15, 60, "orange"), (60, 86400, "red")]
+_ZONES = {
+    "traffic.raw_input_rps": [(0, 100, "red"), (100, 200, "orange"), (200, 1000000, "green")],
+    "traffic.sentiment_rps": [(0, 5, "red"), (5, 20, "orange"), (20, 10000, "green")],
+    "saturation.sentiment_backlog": [(0, 200, "green"), (200, 500, "orange"), (500, 1000, "red")],
+    "latency.sentiment.lag": _LAGS,
+    **{f"latency.pipeline.{stage}": _LAGS for stage in ("post", "like", "repost", "follow", "block", "profile")},
+}
+
+
 def _zone_case(zones) -> str:
     last = len(zones) - 1
     tests = "".join(
@@ -598,7 +630,7 @@ def _zone_case(zones) -> str:
 _SEVERITY = (
     "CASE "
     + " ".join(
-        f"WHEN check_name = '{name}' AND value_num IS NOT NULL THEN {_zone_case(zones)}" for name, zones in ZONES.items()
+        f"WHEN check_name = '{name}' AND value_num IS NOT NULL THEN {_zone_case(zones)}" for name, zones in _ZONES.items()
     )
     + " ELSE CASE status WHEN 'ok' THEN 'green' WHEN 'warn' THEN 'orange' WHEN 'skip' THEN 'grey' ELSE 'red' END END"
 )
@@ -608,7 +640,6 @@ SELECT ts // 60 AS minute, check_name,
   ['grey', 'green', 'yellow', 'orange', 'red'][max(list_position(['grey', 'green', 'yellow', 'orange', 'red'], {_SEVERITY}))]
     AS severity
 FROM metric_history GROUP BY 1, 2"""
-_LIMITS = ", ".join(f"('{name}', '{bound}', {limit}::DOUBLE, '{beyond}')" for name, bound, limit, beyond in THRESHOLDS)
 SELECTS["telemetry_thresholds"] = f"""
 SELECT seq, m.check_name, value_num, limit_num,
   CASE WHEN (bound = 'max' AND value_num > limit_num) OR (bound = 'min' AND value_num < limit_num) THEN beyond ELSE 'ok' END

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from driftlake.functions import records, severity
 from driftlake.functions import sentiment as text
-from driftlake.functions.clock import micros_to_timestamp
+from driftlake.functions.clock import ago, micros_to_timestamp
 from driftlake.operators import core, maintenance, quality, sentiment, staging, telemetry
 from driftlake.plans import marts, panels
 from driftlake.schemas import FOLLOW, RAW_EVENTS, ROUTES, TABLES
@@ -483,7 +483,11 @@ def _(tables):
 
 @query("quality_mart_delta")
 def _(tables):
-    return quality.row_delta(marts.mart_engagement_velocity(tables, tables.as_of), tables["core_engagement"])
+    """Ninety minutes on, when part of the rows lies before the mart's two hours."""
+    later = tables.as_of + timedelta(minutes=90)
+    return quality.row_delta(
+        marts.mart_engagement_velocity(tables, later), tables["core_engagement"], since=ago(later, hours=2)
+    )
 
 
 @query("quality_routing")

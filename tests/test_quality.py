@@ -156,3 +156,8 @@ def test_mart_delta(spark, rows):
     assert quality.row_delta(mart, core).first().asDict() == {"mart_rows": 7, "core_rows": 3, "delta": 4}
 
 
+def test_row_delta_takes_the_span_of_the_mart(spark):
+    core = spark.createDataFrame([(at("10:00:00"),), (at("12:00:00"),)], "event_time timestamp")
+    mart = spark.createDataFrame([(1,)], "count bigint")
+    got = quality.row_delta(mart, core, since=F.lit(at("11:00:00"))).first()
+    assert (got.mart_rows, got.core_rows, got.delta) == (1, 1, 0)
