@@ -8,12 +8,14 @@ only a spanning forest of the close ones is returned.  A key with over ``MOST``
 fingerprints is not compared in one task: its rows take keys of thirteen of sixteen blocks
 instead, of which none can have more than 2 ** 12.
 
-``near_groups`` is for word shingles at a similarity: fingerprints of ``WIDE`` bits, blocks
-of sixteen bits, and a Hamming radius that stands for the similarity.  So many bits differ
-at 0.8 that no split guarantees a shared block; at 0.8 a pair shares one of the sixty with
-probability 0.99, at 0.9 with 0.99999, and groups are joined through any member.
+``near_groups`` links texts whose sets of word shingles have a Jaccard similarity of at
+least ``SIMILAR``.  Fingerprints of ``WIDE`` bits and blocks of sixteen bits only find
+candidates; the shingles of both texts decide.  So many bits differ at 0.8 that no split
+guarantees a shared block; at 0.8 a pair shares one of the sixty with probability 0.99, at
+0.9 with 0.99999, and groups are joined through any member.
 
-Copies share a fingerprint and are folded before blocks are made.
+Copies share a fingerprint (in ``near_groups``, a set of shingles) and are folded before
+blocks are made.
 
 Defined results: null and empty texts have fingerprint 0 and are linked like any other by
 ``exact_links``; ``near_groups`` takes texts without words as copies of each other.  A null
@@ -43,8 +45,9 @@ MOST = 4096
 SMALL = 48
 #: Bits of a wide fingerprint, those kept apart to sift pairs, and the most that may differ there.
 WIDE, SIFT, SIFT_RADIUS = 1024, 64, 21
-#: Words of a shingle, and the share of differing bits that stands for a similarity of 0.8.
-WORDS, WIDE_RADIUS = 5, 0.165
+#: Words of a shingle, least similarity, and the share of bits that may differ in a candidate:
+#: at 0.8 0.151 differ on average, 0.011 more or less.
+WORDS, SIMILAR, WIDE_RADIUS = 5, 0.8, 0.2
 
 
 # -- fingerprints ----------------------------------------------------------------------
@@ -70,32 +73,36 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def wide_fingerprints(texts: list[str], words: int = WORDS) -> list[bytes]:
-    """Signs of ``WIDE`` random projections of the shingle counts.
+def shingles(text: str, words: int = WORDS) -> np.ndarray:
+    """The set of hashed shingles of a text, sorted; a shorter text is one shingle."""
+    parts = text.encode().lower().split()
+    if not parts:
+        return np.empty(0, np.uint64)
+    digest = xxhash.xxh64_intdigest
+    own = np.fromiter((digest(part) for part in parts), np.uint64, len(parts))
+    n = max(1, len(own) - words + 1)
+    total = np.zeros(n, np.uint64)
+    for j in range(min(words, len(own))):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + own[j : j + n]
+    return np.unique(_mixed(total))
+
+
+def wide_fingerprints(sets: list[np.ndarray]) -> list[bytes]:
+    """Signs of ``WIDE`` random projections of sets of shingles.
 
     Shingles are counted under signed hashed places; a Walsh-Hadamard transform then sums
     them with all sign patterns at once.
     """
-    counts = np.zeros((len(texts), WIDE), np.float32)
-    digest = xxhash.xxh64_intdigest
-    for row, text in enumerate(texts):
-        parts = text.encode().lower().split()
-        if not parts:
-            continue
-        own = np.fromiter((digest(part) for part in parts), np.uint64, len(parts))
-        n = max(1, len(own) - words + 1)
-        total = np.zeros(n, np.uint64)
-        for j in range(min(words, len(own))):
-            total = total * np.uint64(0x9E3779B97F4A7C15) + own[j : j + n]
-        mixed = _mixed(total)
+    counts = np.zeros((len(sets), WIDE), np.float32)
+    for row, mixed in enumerate(sets):
         places = (mixed >> np.uint64(1)) % np.uint64(WIDE)
         signs = 1.0 - 2.0 * (mixed & np.uint64(1)).astype(np.float64)
         counts[row] = np.bincount(places.astype(np.int64), weights=signs, minlength=WIDE)
     step = 1
     while step < WIDE:
-        pairs = counts.reshape(len(texts), -1, 2, step)
+        pairs = counts.reshape(len(sets), -1, 2, step)
         counts = np.stack([pairs[:, :, 0] + pairs[:, :, 1], pairs[:, :, 0] - pairs[:, :, 1]], axis=2)
-        counts = counts.reshape(len(texts), WIDE)
+        counts = counts.reshape(len(sets), WIDE)
         step *= 2
     return [bits.tobytes() for bits in np.packbits(counts > 0, axis=1)]
 
@@ -307,25 +314,73 @@ def simhash_components(docs: DataFrame, words: int = 3, radius: int = 3) -> Data
     )
 
 
-def near_groups(docs: DataFrame, words: int = WORDS, share: float = WIDE_RADIUS) -> DataFrame:
-    """``doc_id, component_id``: documents connected by shingle similarity."""
+def _set_id(shingle_set: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(shingle_set.tobytes())).view(np.int64))
 
-    def own(texts: pd.Series) -> pd.Series:
-        done = []
-        for start in range(0, len(texts), 256):
-            done += wide_fingerprints([text or "" for text in texts[start : start + 256]], words)
-        return pd.Series(done)
+
+def _similar(pairs: DataFrame, single: DataFrame, docs: DataFrame, words: int, similar: float) -> DataFrame:
+    """The ``pairs`` (``a, b`` of ids) whose fingerprints are near and whose sets are similar, by their shingles."""
 
     def far(a: pd.Series, b: pd.Series) -> pd.Series:
         left = np.frombuffer(b"".join(a), np.uint64).reshape(-1, WIDE // 64)
         right = np.frombuffer(b"".join(b), np.uint64).reshape(-1, WIDE // 64)
         return pd.Series(np.bitwise_count(left ^ right).sum(axis=1).astype("int64"))
 
-    prints = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.pandas_udf(own, "binary")(whole("text")).alias("print")
+    def sets(texts: pd.Series) -> pd.DataFrame:
+        found = [shingles(text, words) for text in texts]
+        return pd.DataFrame({"id": [_set_id(x) for x in found], "set": [x.tobytes() for x in found]})
+
+    def enough(a: pd.Series, b: pd.Series) -> pd.Series:
+        done = []
+        for x, y in zip(a, b):
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            common = len(np.intersect1d(x, y, assume_unique=True))
+            done.append(common >= similar * (len(x) + len(y) - common) - 1e-9)
+        return pd.Series(done, dtype="bool")
+
+    def sides(columns: list[str]) -> list[DataFrame]:
+        return [single.select(F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in columns]) for x in "ab"]
+
+    left, right = sides(["n", "own", "print"])
+    near = (
+        pairs.join(left, "a")
+        .join(right, "b")
+        .filter(F.least("n_a", "n_b") >= similar * F.greatest("n_a", "n_b") - 1e-9)
+        .filter(F.pandas_udf(far, "long")("print_a", "print_b") <= int(WIDE_RADIUS * WIDE))
     )
-    rows = written(prints.withColumn("id", F.xxhash64("print")), "wide-prints")
-    single = written(rows.groupBy("id").agg(F.first("print").alias("print")), "wide-distinct")
+    near = written(near.select("a", "b", "own_a", "own_b"), "wide-near")
+    wanted = near.select(F.col("own_a").alias("own")).union(near.select("own_b")).distinct()
+    text = docs.select(whole("text").alias("text")).withColumn("own", F.xxhash64("text"))
+    found = written(
+        text.join(wanted, "own", "left_semi")
+        .dropDuplicates(["own"])
+        .select(F.pandas_udf(sets, "id long, set binary")("text").alias("s"))
+        .select("s.id", "s.set"),
+        "wide-sets",
+    )
+    left, right = (found.select(F.col("id").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
+    both = near.select("a", "b").join(left, "a").join(right, "b")
+    return written(both.filter(F.pandas_udf(enough, "boolean")("set_a", "set_b")).select("a", "b"), "wide-links")
+
+
+def near_groups(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) -> DataFrame:
+    """``doc_id, component_id``: documents connected by shingle similarity."""
+
+    def prints(texts: pd.Series) -> pd.DataFrame:
+        done = []
+        for start in range(0, len(texts), 256):
+            sets = [shingles(text, words) for text in texts[start : start + 256]]
+            done += zip(map(_set_id, sets), map(len, sets), wide_fingerprints(sets))
+        return pd.DataFrame(done, columns=["id", "n", "print"])
+
+    text = whole("text")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("own"),
+        F.pandas_udf(prints, "id long, n long, print binary")(text).alias("p"),
+    ).select("doc_id", "own", "p.*")
+    rows = written(rows, "wide-prints")
+    single = rows.groupBy("id").agg(F.min(F.struct("own", "n", "print")).alias("p")).select("id", "p.*")
+    single = written(single, "wide-distinct")
     blocks = F.transform(
         F.sequence(F.lit(SIFT // 8 + 1), F.lit(WIDE // 8 - 1), F.lit(2)),
         lambda at: F.xxhash64(at, F.substring(F.col("print"), at, F.lit(2))),
@@ -333,11 +388,7 @@ def near_groups(docs: DataFrame, words: int = WORDS, share: float = WIDE_RADIUS)
     sift = F.conv(F.substring(F.hex("print"), 1, SIFT // 4), 16, -10).cast("long")
     keyed = single.select(F.explode(blocks).alias("key"), sift.alias("print"), "id")
     pairs = _within_keys(keyed, SIFT_RADIUS, MOST, False).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = written(pairs.distinct(), "wide-pairs")
-    left = single.select(F.col("id").alias("a"), F.col("print").alias("print_a"))
-    right = single.select(F.col("id").alias("b"), F.col("print").alias("print_b"))
-    both = pairs.join(left, "a").join(right, "b")
-    links = both.filter(F.pandas_udf(far, "long")("print_a", "print_b") <= int(share * WIDE)).select("a", "b")
+    links = _similar(written(pairs.distinct(), "wide-pairs"), single, docs, words, similar)
     return _grouped(rows.select("doc_id", "id"), links).select("doc_id", "component_id")
 
 

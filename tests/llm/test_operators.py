@@ -140,6 +140,51 @@ def test_near_copies(docs):
     assert {9} in groups.values() and {14} in groups.values()
 
 
+def shingle_set(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def near_labels(texts):
+    """Components of texts by exact similarity, each named by its first text."""
+    sets, label = [shingle_set(text) for text in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if label[i] != label[j] and jaccard(sets[i], sets[j]) >= 0.8:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return label
+
+
+def tail_changed(draw, text, similarity):
+    """The text with as many of its last words new as leave about this similarity."""
+    words = text.split()
+    n = round((len(words) - 4) * (1 - similarity) / (1 + similarity))
+    return " ".join([*words[: len(words) - n], *(f"new{draw.random()}" for _ in range(n))])
+
+
+def test_near_copies_are_decided_by_exact_similarity(spark):
+    draw = random.Random(11)
+    texts = []
+    for k in range(150):
+        base = " ".join(f"w{draw.randrange(10**6)}" for _ in range(draw.choice([60, 300, 900])))
+        texts += [base, tail_changed(draw, base, 0.82 if k % 2 else 0.765)]
+    line = " ".join(f"line{i}" for i in range(14))
+    for _ in range(2):  # a repeated line is a small part of the shingles
+        texts.append(" ".join(f"v{draw.randrange(10**6)}" for _ in range(300)) + f" {line}" * 40)
+    texts += [f"lone{i}" for i in range(400)] + ["", " "]
+    rows = [(i, text, "", "", "", "") for i, text in enumerate(texts)]
+    got = dict(collected(simhash.near_groups(spark.createDataFrame(rows, SCHEMA).repartition(4))))
+    want = dict(enumerate(near_labels(texts)))
+    missed = [i for i in want if got[i] != want[i] and want[i] != i]
+    assert not [i for i in want if got[i] != i and got[i] != want[i]]
+    assert len(missed) <= 2  # of 75 pairs at 0.82; a shared block has a probability over 0.99
+
+
 def test_repeats(docs, none):
     rows = [(d, (t or "").encode()) for d, t, *_ in corpus()]
     order = lambda d: blocks.LAST if d is None else d
