@@ -12,7 +12,10 @@ instead, of which none can have more than 2 ** 12.
 least ``SIMILAR``.  Fingerprints of ``WIDE`` bits and blocks of sixteen bits only find
 candidates; the shingles of both texts decide.  So many bits differ at 0.8 that no split
 guarantees a shared block; at 0.8 a pair shares one of the sixty with probability 0.99, at
-0.9 with 0.99999, and groups are joined through any member.
+0.9 with 0.99999, and groups are joined through any member.  Candidates come twice: first a
+forest of close pairs within each key, whose similar pairs make groups; then every sifted
+pair of a key that is in different groups.  So no pair is left out for another one that
+turns out not to be similar, and a group of many copies does not make pairs of all.
 
 Copies share a fingerprint (in ``near_groups``, a set of shingles) and are folded before
 blocks are made.
@@ -45,6 +48,8 @@ MOST = 4096
 SMALL = 48
 #: Bits of a wide fingerprint, those kept apart to sift pairs, and the most that may differ there.
 WIDE, SIFT, SIFT_RADIUS = 1024, 64, 21
+#: Bits that sift pairs of different groups, and the most that may differ in the first 64 and in all.
+FULL_SIFT, FIRST_RADIUS, FULL_RADIUS = 192, 24, 55
 #: Words of a shingle, least similarity, and the share of bits that may differ in a candidate:
 #: at 0.8 0.151 differ on average, 0.011 more or less.
 WORDS, SIMILAR, WIDE_RADIUS = 5, 0.8, 0.2
@@ -261,6 +266,49 @@ def _within_keys(keyed: DataFrame, radius: int, most: int, split_common: bool) -
     )
 
 
+def _pairs_between(batches):
+    """Rows ``group, root, id, s0, s1, s2`` sorted by group to all sifted pairs ``a, b`` of different roots."""
+
+    def found(columns):
+        group, root, ids, *sift = columns
+        sift = [x.view(np.uint64) for x in sift]
+        begin = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        size = np.diff(np.append(begin, len(group)))
+        at, ends = np.arange(len(group)), np.repeat(begin + size, size)
+        step, kept, n = 1, [], 0
+        while len(at):
+            inside = at + step < ends
+            at, ends = at[inside], ends[inside]
+            a = at[root[at] != root[at + step]]
+            apart = np.bitwise_count(sift[0][a] ^ sift[0][a + step]).astype(np.int64)
+            a, apart = a[apart <= FIRST_RADIUS], apart[apart <= FIRST_RADIUS]
+            for x in sift[1:]:
+                apart += np.bitwise_count(x[a] ^ x[a + step])
+            a = a[apart <= FULL_RADIUS]
+            if len(a):
+                kept.append(np.sort(np.stack([ids[a], ids[a + step]]), axis=0))
+                n += len(a)
+            step += 1
+            if n > 1 << 16 or (n and not len(at)):
+                both = np.concatenate(kept, axis=1)
+                yield pa.record_batch([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+                kept, n = [], 0
+
+    held = None
+    for batch in batches:
+        columns = [batch.column(i).to_numpy() for i in range(batch.num_columns)]
+        if held is not None:
+            columns = [np.concatenate(pair) for pair in zip(held, columns)]
+        if not len(columns[0]):
+            continue
+        last = int(np.argmax(columns[0] == columns[0][-1]))
+        if last:
+            yield from found([x[:last] for x in columns])
+        held = [x[last:] for x in columns]
+    if held is not None:
+        yield from found(held)
+
+
 def _choices(blocks: int, radius: int) -> list[int]:
     """Masks of all but ``radius`` of the blocks of 64 bits, as signed longs."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
@@ -385,10 +433,24 @@ def near_groups(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) -
         F.sequence(F.lit(SIFT // 8 + 1), F.lit(WIDE // 8 - 1), F.lit(2)),
         lambda at: F.xxhash64(at, F.substring(F.col("print"), at, F.lit(2))),
     )
-    sift = F.conv(F.substring(F.hex("print"), 1, SIFT // 4), 16, -10).cast("long")
-    keyed = single.select(F.explode(blocks).alias("key"), sift.alias("print"), "id")
+    sift = [
+        F.conv(F.substring(F.hex("print"), 16 * i + 1, 16), 16, -10).cast("long").alias(f"s{i}") for i in range(FULL_SIFT // 64)
+    ]
+    keyed = single.select("id", sift[0], blocks.alias("keys")).select(F.explode("keys").alias("key"), F.col("s0").alias("print"), "id")
     pairs = _within_keys(keyed, SIFT_RADIUS, MOST, False).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = _similar(written(pairs.distinct(), "wide-pairs"), single, docs, words, similar)
+    first = _similar(written(pairs.distinct(), "wide-pairs"), single, docs, words, similar)
+    roots = components(first)
+    grouped = single.select("id", *sift, blocks.alias("keys")).join(roots, F.col("id") == F.col("node"), "left")
+    keyed = grouped.withColumn("root", F.coalesce("root", "id")).select(
+        F.explode("keys").alias("group"), "root", "id", "s0", "s1", "s2"
+    )
+    pairs = (
+        keyed.repartition(width(docs.sparkSession), "group")
+        .sortWithinPartitions("group")
+        .mapInArrow(_pairs_between, "a long, b long")
+    )
+    second = _similar(written(pairs.distinct(), "wide-rest"), single, docs, words, similar)
+    links = first.unionByName(second)
     return _grouped(rows.select("doc_id", "id"), links).select("doc_id", "component_id")
 
 

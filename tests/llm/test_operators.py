@@ -185,6 +185,22 @@ def test_near_copies_are_decided_by_exact_similarity(spark):
     assert len(missed) <= 2  # of 75 pairs at 0.82; a shared block has a probability over 0.99
 
 
+def test_near_copies_among_texts_of_one_template(spark):
+    """Pairs at 0.85 in a family at 0.75: other pairs look as close and fail."""
+    draw = random.Random(12)
+    new = lambda n: [f"w{draw.randrange(10**9)}" for _ in range(n)]
+    shared, texts = new(604), []
+    for k in range(150):
+        common = new(43)
+        texts += [" ".join([*shared, *common, *new(57)]), " ".join([*shared, *(common if k % 3 == 0 else new(43)), *new(57)])]
+    rows = [(i, text, "", "", "", "") for i, text in enumerate(texts)]
+    got = dict(collected(simhash.near_groups(spark.createDataFrame(rows, SCHEMA).repartition(4))))
+    want = dict(enumerate(near_labels(texts)))
+    assert sum(want[i] != i for i in want) == 50
+    assert not [i for i in want if got[i] != i and got[i] != want[i]]
+    assert len([i for i in want if got[i] != want[i]]) <= 1
+
+
 def test_repeats(docs, none):
     rows = [(d, (t or "").encode()) for d, t, *_ in corpus()]
     order = lambda d: blocks.LAST if d is None else d
