@@ -4,7 +4,8 @@ A text is the TF-IDF vector of its byte trigrams (letters in lower case, all els
 separators), hashed to ``DIMENSIONS`` and normalised.  Each language has a few centroids,
 found by spherical k-means over labelled texts.  The language of the centroid with the
 largest cosine is the answer, the cosine is the score.  A text is rejected if it is
-farther from every centroid than labelled texts of about its length are.
+farther from every centroid than labelled texts of that language, cut to about its length,
+are from centroids they were not fitted with; or if it has no trigram of theirs.
 
 Fitting uses at most about ``SAMPLE`` texts of a language, chosen by a hash of ``doc_id``
 among those whose CRC-32 of ``doc_id`` modulo 4 is not 2.  That is the documented bound on
@@ -31,8 +32,9 @@ DIMENSIONS = 1 << 13
 SAMPLE, CENTROIDS, ROUNDS = 300, 4, 12
 #: More languages are refused: fitting is on the driver.
 MOST_LANGUAGES = 300
-#: Distance beyond the farthest labelled text of the same length class at which a text is rejected.
-SLACK = 0.15
+#: A text is rejected if its cosine is under this share of the cosine that all but a hundredth
+#: of the labelled texts reach; at least so many texts make a limit.
+QUANTILE, SHARE, ENOUGH = 0.99, 0.6, 20
 UNKNOWN = "und"
 
 #: Bytes that separate words: all ASCII but letters.
@@ -63,7 +65,7 @@ def length_class(sizes: np.ndarray) -> np.ndarray:
 
 
 class CentroidModel:
-    """Inverse document frequencies, centroids with their languages, and radii."""
+    """Inverse document frequencies, centroids with their languages, and each centroid's radius by length class."""
 
     def __init__(self, idf: np.ndarray, centroids: np.ndarray, languages: list[str], radius: np.ndarray):
         self.idf, self.centroids, self.languages, self.radius = idf, centroids, languages, radius
@@ -84,7 +86,8 @@ class CentroidModel:
                 best, near = cosine.argmax(axis=1), cosine.max(axis=1)
             else:
                 best, near = np.zeros(len(part), int), np.zeros(len(part))
-            far = 1 - near > self.radius[length_class(rows.sum(axis=1))]
+            classes = length_class(rows.sum(axis=1))
+            far = 1 - near > self.radius[best, classes] if self.languages else np.zeros(len(part), bool)
             for text, b, score, away in zip(part, best, near, far):
                 if not _LETTER.search(text):
                     done.append((UNKNOWN, 0.0, True))
@@ -105,27 +108,65 @@ def _clusters(vectors: np.ndarray, k: int) -> np.ndarray:
     return centres.astype(np.float32)
 
 
+def _centroids(vectors: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, list[str]]:
+    found = {str(name): _clusters(vectors[names == name], CENTROIDS) for name in sorted(set(names))}
+    return np.concatenate(list(found.values())), [name for name, rows in found.items() for _ in rows]
+
+
+def _limit(distances: np.ndarray) -> float:
+    """Where a text is too far; single labelled texts that are far off do not move it."""
+    return float(1 - SHARE * (1 - np.quantile(distances, QUANTILE)))
+
+
+def _radii(model: CentroidModel, texts: list[str], vectors: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """The radius of each centroid for each length class.
+
+    Each half of the texts is measured by centroids of the other half, and cut to each class
+    up to its own length.  Longer texts lie nearer: a class counts for all longer ones with
+    too few texts.  A language with too few in all gets the limit of all languages.
+    """
+    half = np.zeros(len(texts), int)
+    for name in set(names):
+        half[names == name] = np.arange((names == name).sum()) % 2
+    other = [_centroids(vectors[half != h], names[half != h])[0] if (half != h).any() else model.centroids for h in (0, 1)]
+    radius = np.full((len(model.languages), 16), np.inf)
+    of = np.array(model.languages)
+    last = dict.fromkeys(["", *set(names)], np.inf)
+    for c in range(16):
+        distance = np.full(len(texts), np.nan)
+        for start in range(0, len(texts), 256):
+            part = range(start, min(start + 256, len(texts)))
+            cut = None if c == 15 else 3 * (1 << c) // 2
+            rows = np.stack([counts(texts[i].encode("utf-8", "ignore")[:cut].decode("utf-8", "ignore")) for i in part])
+            at = np.flatnonzero(length_class(rows.sum(axis=1)) == c)
+            if not len(at):
+                continue
+            own = model.vectors(rows[at])
+            cosine = np.stack([(own @ centres.T).max(axis=1) for centres in other])
+            distance[start + at] = 1 - cosine[half[start + at], np.arange(len(at))]
+        known = ~np.isnan(distance)
+        for name in last:
+            chosen = known if name == "" else known & (names == name)
+            if chosen.sum() >= ENOUGH:
+                last[name] = _limit(distance[chosen])
+        for name in set(names):
+            found = last[name] if last[name] < np.inf else last[""]
+            radius[of == name, c] = min(found, 1 - 1e-6)  # no labelled trigram at all is always too far
+    return radius
+
+
 def fit(labelled: list[tuple[str, str]]) -> CentroidModel:
     """A model from ``(language, text)`` pairs."""
     labelled = sorted(pair for pair in labelled if _LETTER.search(pair[1]))
     if not labelled:
-        return CentroidModel(np.ones(DIMENSIONS, np.float32), np.zeros((0, DIMENSIONS)), [], np.full(16, np.inf))
+        return CentroidModel(np.ones(DIMENSIONS, np.float32), np.zeros((0, DIMENSIONS)), [], np.zeros((0, 16)))
     rows = np.stack([counts(text) for _, text in labelled])
     idf = (np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))) + 0.1).astype(np.float32)
-    model = CentroidModel(idf, np.zeros((0, DIMENSIONS)), [], np.full(16, np.inf))
+    model = CentroidModel(idf, np.zeros((0, DIMENSIONS)), [], np.zeros((0, 16)))
     vectors = model.vectors(rows).astype(np.float32)
     names = np.array([language for language, _ in labelled])
-    centroids, languages = [], []
-    for language in sorted(set(names)):
-        found = _clusters(vectors[names == language], CENTROIDS)
-        centroids.append(found)
-        languages += [str(language)] * len(found)
-    model.centroids, model.languages = np.concatenate(centroids), languages
-    distance = 1 - (vectors @ model.centroids.T).max(axis=1)
-    classes = length_class(rows.sum(axis=1))
-    for c in range(16):  # shorter texts lie farther off: a class counts for all longer ones too few to tell
-        if (classes == c).sum() >= 20:
-            model.radius[c] = distance[classes == c].max() + SLACK
+    model.centroids, model.languages = _centroids(vectors, names)
+    model.radius = _radii(model, [text for _, text in labelled], vectors, names)
     return model
 
 

@@ -267,6 +267,21 @@ def test_language_identification(spark, docs, none):
     assert langid.identify(none, langid.train(none)).count() == 0
 
 
+def test_foreign_texts_are_rejected_at_every_length(spark):
+    draw = random.Random(4)
+    made = lambda parts, n: " ".join("".join(draw.choices(parts, k=draw.randint(1, 3))) for _ in range(n))
+    other, foreign = ["wou", "xy", "zae", "kri", "py"], ["ngq", "tsv", "bmj", "rdh", "lfw"]
+    rows = [("xx" if i % 2 else "en", made(other if i % 2 else SYLLABLES, draw.randint(20, 80))) for i in range(300)]
+    rows += [("en", made(foreign, 40)), ("xx", "qqqq jjjj")]  # labelled wrongly
+    model = langid.fit(rows)
+    for words in (8, 40, 3000):
+        got = model.predict([made(foreign, words) for _ in range(40)])
+        assert all(rejected for *_, rejected in got), words
+        got = model.predict([made(parts, words) for parts in (other, SYLLABLES) for _ in range(40)])
+        assert sum(rejected for *_, rejected in got) <= 1, words
+        assert [name for name, *_ in got] == ["xx"] * 40 + ["en"] * 40
+
+
 def test_warc_round_trip(spark):
     big = "<p>é</p>" * 9000
     rows = [(1, "http://a/", big), (2, None, big), (3, "x\r\ny", None), (4, "u", ""), (5, "u", "s" * 99), (6, "u", "s" * 99),
