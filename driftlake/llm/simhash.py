@@ -15,7 +15,9 @@ guarantees a shared block; at 0.8 a pair shares one of the sixty with probabilit
 0.9 with 0.99999, and groups are joined through any member.  Candidates come twice: first a
 forest of close pairs within each key, whose similar pairs make groups; then every sifted
 pair of a key that is in different groups.  So no pair is left out for another one that
-turns out not to be similar, and a group of many copies does not make pairs of all.
+turns out not to be similar, and a group of many copies does not make pairs of all.  A key
+with over ``MOST`` sets of shingles is dealt into parts by a hash; the forest is of each
+part (other keys deal the same texts otherwise), and then all parts meet two by two.
 
 Copies share a fingerprint (in ``near_groups``, a set of shingles) and are folded before
 blocks are made.
@@ -175,27 +177,13 @@ def _one_group(begin: int, prints: np.ndarray, radius: int) -> list[tuple[int, i
     return edges
 
 
-def _leaders(sift: np.ndarray, ids: np.ndarray, state: tuple, radius: int) -> tuple[list, tuple]:
-    """Links of further rows of a very large group to its leaders so far; rows far from all lead too."""
-    leads, names = state
-    edges = []
-    for value, name in zip(sift, ids):
-        apart = np.bitwise_count(leads ^ value) if len(leads) else np.empty(0, np.uint8)
-        if len(apart) and apart.min() <= radius:
-            edges.append((int(names[apart.argmin()]), int(name)))
-        else:
-            leads, names = np.append(leads, value), np.append(names, name)
-    return edges, (leads, names)
-
-
 LINKS = "a long, b long, common long"
 
 
-def _linker(radius: int, most: int, split_common: bool):
+def _linker(radius: int, most: int):
     """Rows ``key, print, id`` sorted by key to links ``a, b`` of ids.
 
-    Rows of a key with over ``most`` rows come back as ``common`` (their id) if
-    ``split_common``; else they are linked to the key's leaders as they pass.
+    Rows of a key with over ``most`` rows come back as ``common`` (their id).
     """
 
     def out(edges: list[tuple[int, int]], common: np.ndarray | None = None) -> pa.RecordBatch:
@@ -205,17 +193,9 @@ def _linker(radius: int, most: int, split_common: bool):
         c = pa.array([None] * len(edges) + extra.tolist(), pa.int64())
         return pa.record_batch([a, b, c], names=["a", "b", "common"])
 
-    def large(prints, ids, state):
-        if split_common:
-            return out([], ids), state
-        edges, state = _leaders(prints, ids, state, radius)
-        return out(edges), state
-
     def link(batches):
-        none = (np.empty(0, np.uint64), np.empty(0, np.int64))
-        key = np.empty(0, np.int64)
-        prints, ids = none
-        open_key, state = None, none
+        key, prints, ids = np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
+        open_key = None
         for batch in batches:
             key = np.concatenate([key, batch.column(0).to_numpy()])
             prints = np.concatenate([prints, batch.column(1).to_numpy().view(np.uint64)])
@@ -223,11 +203,10 @@ def _linker(radius: int, most: int, split_common: bool):
             if open_key is not None and len(key):
                 own = int(np.searchsorted(key != open_key, True))
                 if own:
-                    rows, state = large(prints[:own], ids[:own], state)
-                    yield rows
+                    yield out([], ids[:own])
                 key, prints, ids = key[own:], prints[own:], ids[own:]
                 if len(key):
-                    open_key, state = None, none
+                    open_key = None
             if not len(key):
                 continue
             begin = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
@@ -236,8 +215,7 @@ def _linker(radius: int, most: int, split_common: bool):
             last = int(begin[-1])
             if size[-1] > most:
                 open_key = key[last]
-                rows, state = large(prints[last:], ids[last:], none)
-                yield rows
+                yield out([], ids[last:])
                 last = len(key)
             key, prints, ids = key[last:], prints[last:], ids[last:]
         if len(key):
@@ -248,7 +226,7 @@ def _linker(radius: int, most: int, split_common: bool):
         edges = _small_groups(begin[few], size[few], prints, radius)
         for b, n in zip(begin[size > SMALL].tolist(), size[size > SMALL].tolist()):
             if n > most:
-                yield large(prints[b : b + n], ids[b : b + n], (prints[:0], ids[:0]))[0]
+                yield out([], ids[b : b + n])
             else:
                 edges += _one_group(b, prints[b : b + n], radius)
         if edges:
@@ -257,20 +235,23 @@ def _linker(radius: int, most: int, split_common: bool):
     return link
 
 
-def _within_keys(keyed: DataFrame, radius: int, most: int, split_common: bool) -> DataFrame:
+def _within_keys(keyed: DataFrame, radius: int, most: int) -> DataFrame:
     """Links of ``key, print, id`` rows that share a key."""
     return (
         keyed.repartition(width(keyed.sparkSession), "key")
         .sortWithinPartitions("key", "print")
-        .mapInArrow(_linker(radius, most, split_common), LINKS)
+        .mapInArrow(_linker(radius, most), LINKS)
     )
 
 
 def _pairs_between(batches):
-    """Rows ``group, root, id, s0, s1, s2`` sorted by group to all sifted pairs ``a, b`` of different roots."""
+    """Rows ``group, side, root, id, s0, s1, s2`` sorted by group to all sifted pairs ``a, b`` of different roots.
+
+    Rows of side 0 meet all of their group, those of sides 1 and 2 only each other.
+    """
 
     def found(columns):
-        group, root, ids, *sift = columns
+        group, side, root, ids, *sift = columns
         sift = [x.view(np.uint64) for x in sift]
         begin = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
         size = np.diff(np.append(begin, len(group)))
@@ -279,7 +260,7 @@ def _pairs_between(batches):
         while len(at):
             inside = at + step < ends
             at, ends = at[inside], ends[inside]
-            a = at[root[at] != root[at + step]]
+            a = at[(root[at] != root[at + step]) & ((side[at] == 0) | (side[at] != side[at + step]))]
             apart = np.bitwise_count(sift[0][a] ^ sift[0][a + step]).astype(np.int64)
             a, apart = a[apart <= FIRST_RADIUS], apart[apart <= FIRST_RADIUS]
             for x in sift[1:]:
@@ -328,9 +309,9 @@ def _keyed(prints: DataFrame, masks: list[int]) -> DataFrame:
 
 def exact_links(prints: DataFrame, radius: int = 3) -> DataFrame:
     """Links ``a, b`` that connect whatever different ``print`` values within ``radius`` bits connect."""
-    first = written(_within_keys(_keyed(prints, _choices(BLOCKS, radius)), radius, MOST, True), "links")
+    first = written(_within_keys(_keyed(prints, _choices(BLOCKS, radius)), radius, MOST), "links")
     common = written(first.filter("common IS NOT NULL").select(F.col("common").alias("print")).distinct(), "common")
-    again = _within_keys(_keyed(common, _choices(FINE_BLOCKS, radius)), radius, MOST, True)
+    again = _within_keys(_keyed(common, _choices(FINE_BLOCKS, radius)), radius, MOST)
     return first.filter("a IS NOT NULL").select("a", "b").unionByName(again.select("a", "b"))
 
 
@@ -436,14 +417,33 @@ def near_groups(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) -
     sift = [
         F.conv(F.substring(F.hex("print"), 16 * i + 1, 16), 16, -10).cast("long").alias(f"s{i}") for i in range(FULL_SIFT // 64)
     ]
-    keyed = single.select("id", sift[0], blocks.alias("keys")).select(F.explode("keys").alias("key"), F.col("s0").alias("print"), "id")
-    pairs = _within_keys(keyed, SIFT_RADIUS, MOST, False).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    keys = single.select("id", *sift, blocks.alias("keys"))
+    sizes = keys.select(F.explode("keys").alias("common")).groupBy("common").count().filter(F.col("count") > MOST)
+    common = written(sizes.select("common", F.ceil(2 * F.col("count") / MOST).cast("int").alias("parts")), "wide-common")
+    part = F.pmod(F.xxhash64("key", "id"), F.coalesce("parts", F.lit(1))).cast("int")
+
+    def dealt(keyed: DataFrame) -> DataFrame:
+        """With ``part``, which of the parts of its key a row is in, and how many there are."""
+        return keyed.join(common, keyed["key"] == common["common"], "left").withColumn("part", part)
+
+    def group(*parts) -> Column:
+        return F.when(F.col("parts").isNull(), F.col("key")).otherwise(F.xxhash64("key", *parts))
+
+    keyed = dealt(keys.select(F.explode("keys").alias("key"), "s0", "id"))
+    keyed = keyed.select(group("part").alias("key"), F.col("s0").alias("print"), "id")
+    pairs = _within_keys(keyed, SIFT_RADIUS, 2 * MOST).filter("a IS NOT NULL")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     first = _similar(written(pairs.distinct(), "wide-pairs"), single, docs, words, similar)
     roots = components(first)
-    grouped = single.select("id", *sift, blocks.alias("keys")).join(roots, F.col("id") == F.col("node"), "left")
-    keyed = grouped.withColumn("root", F.coalesce("root", "id")).select(
-        F.explode("keys").alias("group"), "root", "id", "s0", "s1", "s2"
-    )
+    grouped = keys.join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id"))
+    other = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
+    keyed = dealt(grouped.select(F.explode("keys").alias("key"), "root", "id", "s0", "s1", "s2"))
+    low, high = F.least("part", "other"), F.greatest("part", "other")
+    keyed = keyed.withColumn("other", F.explode(other)).select(
+        group(low, high).alias("group"),
+        F.when(low == high, 0).when(F.col("part") == low, 1).otherwise(2).alias("side"),
+        "root", "id", "s0", "s1", "s2",
+    )
     pairs = (
         keyed.repartition(width(docs.sparkSession), "group")
         .sortWithinPartitions("group")

@@ -185,8 +185,10 @@ def test_near_copies_are_decided_by_exact_similarity(spark):
     assert len(missed) <= 2  # of 75 pairs at 0.82; a shared block has a probability over 0.99
 
 
-def test_near_copies_among_texts_of_one_template(spark):
-    """Pairs at 0.85 in a family at 0.75: other pairs look as close and fail."""
+@pytest.mark.parametrize("most", [4096, 8])
+def test_near_copies_among_texts_of_one_template(spark, monkeypatch, most):
+    """Pairs at 0.85 in a family at 0.75: other pairs look as close and fail; also when keys are common."""
+    monkeypatch.setattr(simhash, "MOST", most)
     draw = random.Random(12)
     new = lambda n: [f"w{draw.randrange(10**9)}" for _ in range(n)]
     shared, texts = new(604), []
