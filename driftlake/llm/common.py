@@ -48,3 +48,9 @@ def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` (null included) is in ``ids``, columns unchanged."""
     chosen = ids.select(F.col("doc_id").alias("_chosen")).distinct()
     return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_chosen"]), "left_semi")
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from driftlake.llm import decontaminate, digest_index, langid, lm, mixing, repeats, secrets, simhash, url_rules, warc
+from driftlake.llm import decontaminate, digest_index, langid, lm, mixing, repeats, secrets, simhash, url_rules, vector_codes, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": langid.op1_langid,
@@ -20,6 +20,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeats": repeats.op8_repeats,
     "op9_url_rules": url_rules.op9_url_rules,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "op11_vector_codes": vector_codes.op11_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -28,4 +29,5 @@ ORACLES: dict[str, str] = {
     "op5_exact_dedup": digest_index.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op9_url_rules": url_rules.ORACLE,
+    "op11_vector_codes": vector_codes.ORACLE,
 }
