@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from driftlake.llm import decontaminate, digest_index, langid, lm, mixing, repeats, secrets, simhash, url_rules, vector_codes, warc
+from driftlake.llm import decontaminate, digest_index, langid, lm, mixing, quality_model, repeats, secrets, simhash
+from driftlake.llm import url_rules, vector_codes, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": langid.op1_langid,
@@ -21,6 +22,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_rules": url_rules.op9_url_rules,
     "op10_decontamination": decontaminate.op10_decontamination,
     "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op12_quality": quality_model.op12_quality,
     "pipeline": corpus_pipeline.run,
 }
 
