@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from driftlake.llm import decontaminate, digest_index, langid, lm, mixing, quality_model, repeats, secrets, simhash
-from driftlake.llm import url_rules, vector_codes, warc
+from driftlake.llm import conversation_repair, decontaminate, digest_index, langid, lm, mixing, quality_model
+from driftlake.llm import repeats, secrets, simhash, url_rules, vector_codes, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": langid.op1_langid,
@@ -23,6 +23,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": decontaminate.op10_decontamination,
     "op11_vector_codes": vector_codes.op11_vector_codes,
     "op12_quality": quality_model.op12_quality,
+    "op13_repair": conversation_repair.op13_repair,
     "pipeline": corpus_pipeline.run,
 }
 
