@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from driftlake.functions import severity
 from driftlake.functions.clock import Clock, ago, clock, micros_to_timestamp, seconds_between, time_range
 from driftlake.functions.severity import Zone
-from driftlake.operators.positions import trailing_totals, with_lookback, with_position
-from driftlake.schemas import BLOCK, FOLLOW, LIKE, POST, PROFILE, REPOST
+from driftlake.operators.positions import trailing_totals
+from driftlake.operators.segments import SLICE_S, with_previous, with_runs
+from driftlake.schemas import LIKE, POST, REPOST, ROUTES
 
 # Rules of the monitor.
 NEWEST_ROWS = 1000
@@ -74,13 +75,16 @@ class Stage:
     event_type: str | None = None
 
 
+def _stage(collection: str, staged: str) -> Stage:
+    """Likes and reposts end in one table, posts in their core table, the rest where they are staged."""
+    kind = collection.rpartition(".")[2]
+    if collection in (LIKE, REPOST):
+        return Stage(collection, "core_engagement", "actor_did", kind)
+    return Stage(collection, "core_posts" if collection == POST else staged)
+
+
 STAGES: dict[str, Stage] = {
-    "post": Stage(POST, "core_posts"),
-    "like": Stage(LIKE, "core_engagement", "actor_did", "like"),
-    "repost": Stage(REPOST, "core_engagement", "actor_did", "repost"),
-    "follow": Stage(FOLLOW, "stg_follows"),
-    "block": Stage(BLOCK, "stg_blocks"),
-    "profile": Stage(PROFILE, "stg_profiles"),
+    collection.rpartition(".")[2]: _stage(collection, staged) for collection, staged in ROUTES.items()
 }
 
 
@@ -102,14 +106,22 @@ def sentiment_rate(tables: Mapping[str, DataFrame], as_of: Clock = None) -> Data
     return _rate(tables["core_post_sentiment"], as_of, 60, "traffic.sentiment_rps")
 
 
-def _newest(df: DataFrame, rows: int, since: Column | None) -> DataFrame:
-    """The newest arrivals as ``(did, time_us, ingested_at)``; ties by key.
+def _newest(
+    tables: Mapping[str, DataFrame], name: str, rows: int, since: Column | None, wanted: Column | None = None,
+    did: str = "did",
+) -> DataFrame:
+    """The newest arrivals of a table as ``(did, time_us, ingested_at)``; ties by key.
 
-    ``since`` spares the scan of what arrived earlier.
+    Only the newest days that hold enough rows are sorted, where the tables can tell them
+    (``Lake.newest_days``); ``since`` spares the scan of what arrived earlier.
     """
+    table = tables[name] if wanted is None else tables[name].filter(wanted)
     if since is not None:
-        df = df.filter(F.col("ingested_at") >= since)
-    return df.orderBy(F.desc("ingested_at"), "did", "time_us").limit(rows)
+        table = table.filter(F.col("ingested_at") >= since)
+    elif hasattr(tables, "newest_days"):
+        table = tables.newest_days(name, rows, wanted)
+    arrivals = table.select(F.col(did).alias("did"), "time_us", "ingested_at")
+    return arrivals.orderBy(F.desc("ingested_at"), "did", "time_us").limit(rows)
 
 
 def _from_oldest_of(table: DataFrame, recent: DataFrame) -> DataFrame:
@@ -151,10 +163,8 @@ def stage_latency(
 ) -> DataFrame:
     """Average delay from the raw row to the end table, over the end table's newest rows."""
     spec = STAGES[stage]
-    terminal = tables[spec.table]
-    if spec.event_type:
-        terminal = terminal.filter(F.col("event_type") == spec.event_type)
-    recent = _newest(terminal.select(F.col(spec.did).alias("did"), "time_us", "ingested_at"), newest, since)
+    wanted = F.col("event_type") == spec.event_type if spec.event_type else None
+    recent = _newest(tables, spec.table, newest, since, wanted, spec.did)
     raw = tables["raw_events"].filter(F.col("collection") == spec.collection)
     return _lag(recent, raw, f"latency.pipeline.{stage}")
 
@@ -163,8 +173,8 @@ def sentiment_lag(
     tables: Mapping[str, DataFrame], newest: int = NEWEST_ROWS, since: Column | None = None
 ) -> DataFrame:
     """Average delay from a post's row to its score, over the newest scores."""
-    scored = tables["core_post_sentiment"].select("did", "time_us", "ingested_at")
-    return _lag(_newest(scored, newest, since), tables["core_posts"], "latency.sentiment.lag")
+    scored = _newest(tables, "core_post_sentiment", newest, since)
+    return _lag(scored, tables["core_posts"], "latency.sentiment.lag")
 
 
 def sentiment_backlog(
@@ -175,8 +185,7 @@ def sentiment_backlog(
     A score counts once it has arrived by ``as_of``.  The scored side is first cut down to
     the few wanted keys, so the large table is scanned once and not shuffled.
     """
-    posts = tables["core_posts"].select("did", "time_us", "ingested_at")
-    recent = _newest(posts, newest, since).select("did", "time_us")
+    recent = _newest(tables, "core_posts", newest, since).select("did", "time_us")
     scored = tables["core_post_sentiment"]
     if as_of is not None:
         scored = scored.filter(F.col("ingested_at") <= clock(as_of))
@@ -279,38 +288,27 @@ def _is_trigger(column: str = "status") -> Column:
     return F.col(column).isin(*TRIGGERS)
 
 
-def breach_alerts(history: DataFrame, tolerance: int | Mapping[str, int] = ALERT_TOLERANCE) -> DataFrame:
+def breach_alerts(
+    history: DataFrame, tolerance: int | Mapping[str, int] = ALERT_TOLERANCE, slice_s: int = SLICE_S
+) -> DataFrame:
     """Results at which a run of breaches or errors reaches the check's tolerance.
 
     One alert per run: a result alerts when the run up to it is exactly as long as the
-    tolerance.  Looking back ``tolerance + 1`` results decides that.
+    tolerance.  ``position`` is the result's number among the check's results.
     """
     if isinstance(tolerance, int):
-        furthest, wanted = tolerance, F.lit(tolerance)
+        wanted = F.lit(tolerance)
     else:
-        furthest = max([ALERT_TOLERANCE, *tolerance.values()])
         wanted = F.lit(ALERT_TOLERANCE)
         for name, rows in tolerance.items():
             wanted = F.when(F.col("check_name") == name, rows).otherwise(wanted)
-    placed = with_position(history, ["check_name"], ["ts", "seq"])
-    calm = F.when(~_is_trigger(), F.col("position"))
-    viewed = with_lookback(
-        placed,
-        ["check_name"],
-        {"_calm": lambda window: F.max(calm).over(window.rowsBetween(-furthest, 0))},
-        furthest,
-    )
-    # Without a calm result in sight the run fills the view, or starts the history.
-    run = F.col("position") - F.coalesce("_calm", F.greatest(F.col("position") - (furthest + 1), F.lit(0)))
-    return viewed.filter(run == wanted).drop("_calm")
+    runs = with_runs(history, ["check_name"], ["ts", "seq"], _is_trigger(), slice_s)
+    return runs.filter((F.col("run") == wanted) & (F.col("run") > 0)).drop("run")
 
 
-def recoveries(history: DataFrame) -> DataFrame:
+def recoveries(history: DataFrame, slice_s: int = SLICE_S) -> DataFrame:
     """Results that are ok right after a breach or error."""
-    placed = with_position(history, ["check_name"], ["ts", "seq"])
-    viewed = with_lookback(
-        placed, ["check_name"], {"previous_status": lambda window: F.lag("status").over(window)}, 1
-    )
+    viewed = with_previous(history, ["check_name"], ["ts", "seq"], "status", "previous_status", slice_s)
     return viewed.filter((F.col("status") == "ok") & _is_trigger("previous_status"))
 
 
@@ -486,17 +484,18 @@ def limit_actions(
 ) -> DataFrame:
     """Skip an action when its target already had ``limit`` in the last ``window_s`` seconds.
 
-    Skipped actions count too.  Earlier actions of the same second count as recent.
+    Skipped actions count too.  Earlier actions of the same second count as recent: a
+    window numbers the rows of one target and second, whole seconds come as totals.
     """
-    placed = with_position(actions, ["target"], ["ts", "seq"])
-    seconds = placed.groupBy("target", "ts").agg(
-        F.count(F.lit(1)).alias("actions"), F.min("position").alias("_first")
-    )
+    seconds = actions.groupBy("target", "ts").agg(F.count(F.lit(1)).alias("actions"))
     totals = trailing_totals(seconds, ["target"], "ts", ["actions"], window_s).select(
-        "target", "ts", "_first", (F.col("trailing_actions") - F.col("actions")).alias("_earlier")
+        F.col("target").alias("_target"), F.col("ts").alias("_ts"),
+        (F.col("trailing_actions") - F.col("actions")).alias("_earlier"),
     )
-    recent = F.col("_earlier") + F.col("position") - F.col("_first")
-    joined = placed.join(totals, ["target", "ts"])
+    place = F.row_number().over(Window.partitionBy("target", "ts").orderBy("seq"))
+    same = F.col("target").eqNullSafe(F.col("_target")) & (F.col("ts") == F.col("_ts"))
+    joined = actions.withColumn("_place", place).join(totals, same)
+    recent = F.col("_earlier") + F.col("_place") - 1
     return joined.select(
         *actions.columns,
         recent.alias("recent_actions"),
