@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from driftlake.functions.clock import Clock, clock
 from driftlake.operators.positions import running_totals
-from driftlake.schemas import TABLES, TableSpec
-from driftlake.sources.lake import BATCH_FILE, Lake
+from driftlake.schemas import BATCH, TABLES, TableSpec
+from driftlake.sources.lake import Lake
 
 # When a table is compacted, how often, and when its files are unhealthy.
 COMPACT_FILE_COUNT = 500
@@ -29,13 +29,13 @@ SMALL_SHARE = 0.75
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """The parquet files below a path with their sizes; no file is opened."""
+def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """The parquet files below a path, or several, with their sizes; no file is opened."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
-        .load(path)
+        .load(path if isinstance(path, str) else list(path))
         .select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified_at"))
     )
 
@@ -47,8 +47,10 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return union
 
 
-def file_stats(spark: SparkSession, paths: Mapping[str, str], small_kb: float = HYGIENE_AVG_KB) -> DataFrame:
-    """Files, bytes, records and the share of small files per table.
+def file_stats(
+    spark: SparkSession, paths: Mapping[str, str | Sequence[str]], small_kb: float = HYGIENE_AVG_KB
+) -> DataFrame:
+    """Files, bytes, records and the share of small files per table, which is one folder or several.
 
     Sizes come from the listing.  Records are counted by a scan that reads no column, so
     only file footers are touched.
@@ -63,7 +65,8 @@ def file_stats(spark: SparkSession, paths: Mapping[str, str], small_kb: float =
             (F.col("bytes") < small_kb * 1024).cast("int").alias("small"),
             F.lit(0).cast("bigint").alias("records"),
         )
-        counted = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("records"))
+        footers = spark.read.option("recursiveFileLookup", "true")
+        counted = footers.parquet(*([path] if isinstance(path, str) else path)).agg(F.count(F.lit(1)).alias("records"))
         parts.append(listed)
         parts.append(
             counted.select(
@@ -148,65 +151,51 @@ def hygiene(stats: DataFrame) -> DataFrame:
 
 
 # -- rewriting ---------------------------------------------------------------------------
-def _totals(spark: SparkSession, path: str) -> tuple[int, int]:
-    row = list_files(spark, path).agg(
-        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")
-    ).first()
-    return row["files"], row["bytes"]
-
-
-def settled_files(lake: Lake, spec: TableSpec, settled_before: datetime | None = None) -> DataFrame:
-    """The files no writer may still replace, with their ``day`` and ``folder``.
-
-    The newest micro-batch of each stream may run again, so its files are left out.  Where
-    other streams read the table, ``settled_before`` is a time up to which they have read
-    it: files written later are left out too.
-    """
-    files = list_files(lake.spark, lake.path(spec.name)).select(
+def _reader_files(lake: Lake, spec: TableSpec) -> DataFrame | None:
+    """The files a reader of the table opens, with their ``day`` and ``folder``; None if there are none."""
+    folders = lake.reader_files(spec)
+    if not folders:
+        return None
+    return list_files(lake.spark, folders).select(
         "*",
         F.regexp_extract("path", f"{spec.date_column}=([0-9-]+)", 1).alias("day"),
-        F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"),
-        F.regexp_extract("path", BATCH_FILE, 1).alias("writer"),
-        F.regexp_extract("path", BATCH_FILE, 2).alias("batch"),
+        F.regexp_replace("path", f"(/{BATCH}=[^/]*)?/[^/]*$", "").alias("folder"),
     )
-    newest = files.groupBy("writer").agg(F.max("batch").alias("newest"))
-    settled = files.join(newest, "writer").filter((F.col("writer") == "") | (F.col("batch") < F.col("newest")))
-    if settled_before is not None:
-        settled = settled.filter(F.col("modified_at") < F.lit(settled_before))
-    return settled.select("path", "bytes", "day", "folder")
 
 
-def fragmented(files: DataFrame, target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
-    """Folders with two or more files well below the target size, with those files."""
-    small = files.filter(F.col("bytes") < F.lit(target_bytes * SMALL_SHARE))
-    crowded = small.groupBy("day", "folder").agg(F.collect_list("path").alias("paths"), F.sum("bytes").alias("bytes"))
-    return crowded.filter(F.size("paths") >= COMPACT_MIN_FILES)
+def _totals(lake: Lake, spec: TableSpec) -> tuple[int, int]:
+    files = _reader_files(lake, spec)
+    if files is None:
+        return 0, 0
+    row = files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    return row["files"], row["bytes"]
 
 
-def fragmented_days(lake: Lake, spec: TableSpec, target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
-    """Days with a partition that holds two or more files well below the target size."""
-    return fragmented(settled_files(lake, spec), target_bytes).select("day").distinct()
+def fragmented_days(lake: Lake, spec: TableSpec, target_bytes: int = TARGET_FILE_BYTES) -> list[str]:
+    """Days with a partition in which a reader opens two or more files well below the target size."""
+    files = _reader_files(lake, spec)
+    if files is None:
+        return []
+    small = files.filter((F.col("day") != "") & (F.col("bytes") < F.lit(target_bytes * SMALL_SHARE)))
+    crowded = small.groupBy("day", "folder").count().filter(F.col("count") >= COMPACT_MIN_FILES)
+    return [row["day"] for row in crowded.select("day").distinct().orderBy("day").collect()]
 
 
 def compact_table(
-    lake: Lake, spec: TableSpec, target_bytes: int = TARGET_FILE_BYTES, settled_before: datetime | None = None
+    lake: Lake, spec: TableSpec, target_bytes: int = TARGET_FILE_BYTES, closed_before: str | None = None
 ) -> dict[str, object]:
-    """Rewrite small files, folder by folder, into files of about ``target_bytes``, sorted as before.
+    """Pack days that have small files into few files, sorted as before.
 
-    Files in shape are neither read nor written.  Writers may go on: only files listed at
-    the start are replaced, and of each stream's files none of its newest batch
-    (``settled_files``).  File names come to the driver one folder at a time.
+    Readers take packed days from their copies; the table's own files stay for streams, which
+    may still have to read them, until retention drops the day.  Writers may go on meanwhile:
+    a day that gets new files is read from the table until it is packed again, so days before
+    ``closed_before`` (``YYYY-MM-DD``) are the ones worth packing.  All days are one write; file
+    counts are those that a reader sees.
     """
-    lake.require_batch(spec.name)
-    lake.finish_swaps(spec)
-    spark = lake.spark
-    files_before, bytes_before = _totals(spark, lake.path(spec.name))
-    days = set()
-    for row in fragmented(settled_files(lake, spec, settled_before), target_bytes).toLocalIterator():
-        rows = lake.read_files(spec, row["paths"]).repartition(max(1, round(row["bytes"] / target_bytes)))
-        lake.swap(spec, rows.sortWithinPartitions(*spec.partitions, spec.time_column), row["paths"])
-        days.add(row["day"])
-    files_after, bytes_after = _totals(spark, lake.path(spec.name))
+    files_before, bytes_before = _totals(lake, spec)
+    days = [day for day in fragmented_days(lake, spec, target_bytes) if closed_before is None or day < closed_before]
+    lake.pack_days(spec, days)
+    files_after, bytes_after = _totals(lake, spec)
     return {
         "table": spec.name,
         "files_before": files_before,
@@ -222,7 +211,7 @@ def run_maintenance(
     log: DataFrame,
     as_of: datetime,
     tables: Sequence[str] | None = None,
-    settled_before: datetime | None = None,
+    closed_before: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Compact the tables that need it, one after another.
 
@@ -230,10 +219,10 @@ def run_maintenance(
     tables come to the driver.
     """
     spark = lake.spark
-    stats = file_stats(spark, {name: lake.path(name) for name in lake})
+    stats = file_stats(spark, {name: lake.reader_files(TABLES[name]) or lake.path(name) for name in lake})
     chosen = select_for_compaction(stats, log, as_of, tables).filter("selected").select("table")
     names = [row["table"] for row in chosen.orderBy("table").collect()]
-    rows = [compact_table(lake, TABLES[name], settled_before=settled_before) for name in names]
+    rows = [compact_table(lake, TABLES[name], closed_before=closed_before) for name in names]
     report = spark.createDataFrame(
         [tuple(row.values()) for row in rows],
         "table string, files_before bigint, files_after bigint, bytes_before bigint, bytes_after bigint,"
@@ -251,7 +240,6 @@ def expired_days(days: Sequence[str], as_of: datetime, retain_days: int = RETAIN
 
 def apply_retention(lake: Lake, spec: TableSpec, as_of: datetime, retain_days: int = RETAIN_DAYS) -> list[str]:
     """Delete the expired day partitions; returns the days that went."""
-    lake.finish_swaps(spec)
     gone = expired_days(lake.days(spec), as_of, retain_days)
     lake.drop_days(spec, gone)
     return gone
@@ -270,8 +258,8 @@ def partition_rollup(table: DataFrame, partitions: Sequence[str]) -> DataFrame:
     )
 
 
-def commit_history(raw_events: DataFrame, stamp: str = "ingested_at", payload: str | None = "raw_json") -> DataFrame:
-    """Added and total records (and payload bytes) per arrival minute."""
+def commit_history(raw_events: DataFrame, stamp: str = "ingested_at", payload: str | None = None) -> DataFrame:
+    """Added and total records per arrival minute; with ``payload`` also the bytes of that column, which is read for it."""
     size = F.sum(F.octet_length(payload)) if payload else F.lit(0).cast("bigint")
     minutes = raw_events.groupBy(F.date_trunc("minute", stamp).alias("committed_at")).agg(
         F.count(F.lit(1)).alias("added_records"), size.alias("added_bytes")
@@ -281,6 +269,24 @@ def commit_history(raw_events: DataFrame, stamp: str = "ingested_at", payload: s
     )
 
 
+def file_history(table: DataFrame) -> DataFrame:
+    """Added and total records and bytes per minute in which files of the table were written.
+
+    From names, sizes and times of files, and record counts in their footers; no column is read.
+    """
+    files = table.groupBy(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_size").alias("bytes"),
+        F.date_trunc("minute", "_metadata.file_modification_time").alias("committed_at"),
+    ).agg(F.count(F.lit(1)).alias("records"))
+    minutes = files.groupBy("committed_at").agg(
+        F.sum("records").alias("added_records"), F.sum("bytes").alias("added_bytes")
+    )
+    return running_totals(
+        minutes, "committed_at", {"added_records": "total_records", "added_bytes": "total_bytes"}
+    )
+
+
 def project_growth(history: DataFrame) -> DataFrame:
     """Growth rates between the first and the last commit; one row.
 
@@ -297,9 +303,9 @@ def project_growth(history: DataFrame) -> DataFrame:
     )
     elapsed = (F.unix_micros("last_at") - F.unix_micros("first_at")) / F.lit(1e6)
     guard = (
-        F.when(F.col("commit_count") < 2, "insufficient_history")
-        .when(F.col("first_at").isNull(), "missing_timestamps")
-        .when(elapsed <= 0, "zero_elapsed")
+        F.when(F.col("commit_count") < 2, "too few commits")
+        .when(F.col("first_at").isNull(), "no commit times")
+        .when(elapsed <= 0, "no time between commits")
     )
     guarded = ends.withColumn("guard", guard).withColumn("elapsed_s", F.when(guard.isNull(), elapsed))
     records, size = F.col("_r1") - F.col("_r0"), F.col("_b1") - F.col("_b0")

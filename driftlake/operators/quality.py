@@ -6,12 +6,14 @@ Every rule gives rows, not exceptions: what was measured, its limit, and a verdi
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftlake.functions.clock import Clock, ago, clock, newest_day, seconds_between, time_range
-from driftlake.schemas import BLOCK, FOLLOW, KINDS, LIKE, POST, PROFILE, REPOST, ROUTES
+from driftlake.schemas import BLOCK, FOLLOW, KINDS, LIKE, POST, PROFILE, REPOST, ROUTES, TABLES
 
 # Limits of the freshness and completeness rules.
 RAW_FRESHNESS_S = 15.0
@@ -160,9 +162,15 @@ def duplicate_ratio(df: DataFrame, keys: Sequence[str] = ("did", "time_us", "kin
 def deduplicate(
     df: DataFrame, keys: Sequence[str] = ("did", "rkey", "time_us"), order: str = "ingested_at"
 ) -> DataFrame:
-    """The earliest row of each key, as an aggregate with a map-side half."""
+    """The earliest row of each key, as an aggregate with a map-side half.
+
+    Of rows with equal ``order`` the one whose other columns hash least stays, so the same rows
+    give the same result however they are dealt.
+    """
     whole = F.struct(*df.columns)
-    return df.groupBy(*keys).agg(F.min_by(whole, order).alias("_row")).select("_row.*")
+    others = [name for name in df.columns if name not in (*keys, order)]
+    place = F.struct(F.col(order), F.xxhash64(*others, F.lit(0)))
+    return df.groupBy(*keys).agg(F.min_by(whole, place).alias("_row")).select("_row.*")
 
 
 # -- integrity -----------------------------------------------------------------------
@@ -237,49 +245,29 @@ def multilingual_coverage(core_posts: DataFrame, sentiment: DataFrame) -> DataFr
 
 
 # -- the acceptance report -----------------------------------------------------------
+# Tables whose newest rows are looked at, and what makes a row of a table complete.
+RECENT_BY = {"raw_events": "ingested_at", "stg_posts": "event_time", "core_posts": "event_time"}
+COMPLETE = {"raw_events": ("raw_json", "collection", "did"), "core_posts": ("content_type",)}
+
+
 def layer_report(tables: Mapping[str, DataFrame], as_of: Clock = None) -> DataFrame:
-    """Rows, recency and fidelity of every layer, each PASS when above zero.
+    """Rows of every table, recent ones, and complete ones, each PASS when above zero.
 
-    A table's counts come from one pass over it.
+    A check is named by its table and measure.  A table's counts come from one pass over it.
     """
-    recent = ago(as_of, minutes=5)
-    measures: dict[str, dict[str, Column | None]] = {
-        "raw_events": {
-            "raw_count": None,
-            "raw_fresh": F.col("ingested_at") > recent,
-            "raw_fields": F.col("raw_json").isNotNull() & F.col("collection").isNotNull() & F.col("did").isNotNull(),
-        },
-        "stg_posts": {"stg_posts": None, "stg_fresh": F.col("event_time") > recent},
-        "stg_likes": {"stg_likes": None},
-        "stg_reposts": {"stg_reposts": None},
-        "stg_follows": {"stg_follows": None},
-        "stg_blocks": {"stg_blocks": None},
-        "stg_profiles": {"stg_profiles": None},
-        "core_posts": {
-            "core_posts": None,
-            "core_fresh": F.col("event_time") > recent,
-            "core_enriched": F.col("content_type").isNotNull(),
-        },
-        "core_mentions": {"core_mentions": None},
-        "core_hashtags": {"core_hashtags": None},
-        "core_engagement": {"core_engagement": None},
-        "core_post_sentiment": {"sent_count": None},
-    }
     parts = []
-    for table, checks in measures.items():
-        row = tables[table].agg(
-            *[
-                (F.count(F.lit(1)) if test is None else F.count_if(test)).alias(check)
-                for check, test in checks.items()
-            ]
-        )
-        pairs = F.array(
-            *[F.struct(F.lit(check).alias("check_name"), F.col(check).alias("value")) for check in checks]
-        )
-        parts.append(row.select(F.inline(pairs)))
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
+    for table in TABLES:
+        counts = {"rows": F.count(F.lit(1))}
+        if table in RECENT_BY:
+            counts["recent"] = F.count_if(F.col(RECENT_BY[table]) > ago(as_of, minutes=5))
+        if table in COMPLETE:
+            counts["complete"] = F.count_if(reduce(and_, [F.col(name).isNotNull() for name in COMPLETE[table]]))
+        row = tables[table].agg(*[count.alias(measure) for measure, count in counts.items()])
+        pairs = [
+            F.struct(F.lit(f"{table}.{measure}").alias("check_name"), F.col(measure).alias("value")) for measure in counts
+        ]
+        parts.append(row.select(F.inline(F.array(*pairs))))
+    report = reduce(DataFrame.unionByName, parts)
     return report.select(
         "check_name", "value", F.when(F.col("value") > 0, "PASS").otherwise("FAIL").alias("status")
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,18 +45,26 @@ def shape_scores(scored: DataFrame) -> DataFrame:
     )
 
 
-# Models loaded by this Python worker, by loader name; workers are reused across batches.
-_LOADED: dict[str, Model] = {}
+# How many texts a model is given at once.
+MODEL_BATCH = 64
 
+# Models loaded by this Python worker, by name and loader; workers are reused across batches.
+_LOADED: dict[tuple[str, str], Model] = {}
 
-def _loaded(key: str, loader: Callable[[], Model]) -> Model:
+
+def _loaded(key: tuple[str, str], loader: Callable[[], Model]) -> Model:
     if key not in _LOADED:
         _LOADED[key] = loader()
     return _LOADED[key]
 
 
-def make_scorer(loader: Callable[[], Model], key: str):
-    """A ``mapInPandas`` function that loads its model once per worker."""
+def make_scorer(loader: Callable[[], Model], key: str, batch_size: int = MODEL_BATCH):
+    """A ``mapInPandas`` function that loads its model once per worker.
+
+    The model gets at most ``batch_size`` texts at once.  Two loaders share a model only if
+    both their keys and what they are made of are equal.
+    """
+    identity = (key, hashlib.sha256(cloudpickle.dumps(loader)).hexdigest())
 
     def score(batches):
         import pandas as pd
@@ -63,10 +73,11 @@ def make_scorer(loader: Callable[[], Model], key: str):
         for batch in batches:
             if batch.empty:
                 continue
-            model = _loaded(key, loader)
+            model, texts = _loaded(identity, loader), batch["prepared"].tolist()
             rows = [
                 {label.lower(): float(value) for label, value in result.items()}
-                for result in model(batch["prepared"].tolist())
+                for start in range(0, len(texts), batch_size)
+                for result in model(texts[start : start + batch_size])
             ]
             best = [max(row, key=row.get) for row in rows]
             output = {name: batch[name] for name in names if name != "prepared"}
@@ -85,8 +96,9 @@ def score_with_model(
     key: str,
     stamp: Column | None = None,
     partitions: int | None = None,
+    batch_size: int = MODEL_BATCH,
 ) -> DataFrame:
-    """Score posts with the model ``loader`` returns.
+    """Score posts with the model ``loader`` returns, at most ``batch_size`` texts at once.
 
     Only the needed columns cross to Python, and the text is prepared before it does.
     ``partitions`` narrows the stage where a scarce device holds the model; without it the
@@ -99,4 +111,4 @@ def score_with_model(
     )
     if partitions:
         narrow = narrow.repartition(partitions)
-    return narrow.mapInPandas(make_scorer(loader, key), TABLES["core_post_sentiment"].schema)
+    return narrow.mapInPandas(make_scorer(loader, key, batch_size), TABLES["core_post_sentiment"].schema)

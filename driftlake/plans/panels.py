@@ -70,9 +70,19 @@ def _top_posts(tables: Tables, as_of: Clock, score: str) -> DataFrame:
         posts = _newest(marts.mart_top_posts(from_tables, as_of), "bucket_min", day_start(as_of))
         return posts.orderBy(*order).limit(5)
 
-    winners = F.broadcast(ranked(tables).select(*key).distinct())
-    names = ("core_posts", "core_post_sentiment")
-    only_winners = {name: tables[name].join(winners, key, "left_semi") for name in names}
+    winners = ranked(tables).select(*key).distinct()
+    # Their first and last time become scalars in the second scan's pushed filters, their
+    # days prune its partitions.
+    first, last = (winners.agg(end("time_us")).scalar() for end in (F.min, F.max))
+
+    def cut(table: DataFrame) -> DataFrame:
+        rows = table.filter(F.col("time_us").between(first, last))
+        if "event_date" in table.columns:
+            days = [F.to_date(F.timestamp_micros(end)) for end in (first, last)]
+            rows = rows.filter(F.col("event_date").between(*days))
+        return rows.join(F.broadcast(winners), key, "left_semi")
+
+    only_winners = {name: cut(tables[name]) for name in ("core_posts", "core_post_sentiment")}
     return ranked(only_winners).select("text", score, "sentiment_label", "primary_lang", "content_type")
 
 

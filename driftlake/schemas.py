@@ -36,6 +36,10 @@ def _staged(**columns: T.DataType) -> T.StructType:
     return T.StructType(_struct(_KEY, {**_COMMIT, **columns}) + _struct(_STAMP, {}))
 
 
+# The innermost folder of a table: which write a file came with.
+BATCH = "batch"
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """A table's columns, the timestamp its day partition comes from, and its sort."""
@@ -58,6 +62,11 @@ class TableSpec:
         """What a reader sees: the table's columns, then the derived day."""
         return [*self.schema.names, self.date_column]
 
+    @property
+    def stored_partitions(self) -> tuple[str, ...]:
+        """The folders on disk; the innermost tells writes apart."""
+        return (*self.partitions, BATCH)
+
     @property
     def stored_schema(self) -> T.StructType:
         """The schema on disk: partition columns come last, in the order of the folders.
@@ -67,7 +76,8 @@ class TableSpec:
         """
         data = [field for field in self.schema.fields if field.name not in self.extra_partitions]
         extra = [self.schema[name] for name in self.extra_partitions]
-        return T.StructType([*data, T.StructField(self.date_column, T.DateType()), *extra])
+        folders = [T.StructField(self.date_column, T.DateType()), *extra, T.StructField(BATCH, STRING)]
+        return T.StructType([*data, *folders])
 
 
 def date_column(time_column: str) -> str:
@@ -163,6 +173,9 @@ _TABLES = [
     ),
 ]
 
+# Lines that held no event; kept beside the raw table.
+QUARANTINE = TableSpec("quarantine", T.StructType(_struct({"raw_json": STRING, **_STAMP}, {})), "ingested_at")
+
 TABLES: dict[str, TableSpec] = {spec.name: spec for spec in _TABLES}
 
 # Which staging table each record type lands in.

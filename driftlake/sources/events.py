@@ -33,7 +33,8 @@ def read_events_stream(
     return reader.text(path)
 
 
-def _parsed(lines: DataFrame, payload: str, ingested_at: Column | None) -> DataFrame:
+def parse_lines(lines: DataFrame, payload: str = "value", ingested_at: Column | None = None) -> DataFrame:
+    """Each line's ``envelope``, its text as ``raw_json``, and when it came in."""
     envelope = F.from_json(payload, ENVELOPE, {"columnNameOfCorruptRecord": "_malformed"})
     stamp = F.current_timestamp() if ingested_at is None else ingested_at
     row = F.struct(envelope.alias("envelope"), F.col(payload).alias("raw_json"), stamp.alias("ingested_at"))
@@ -47,8 +48,9 @@ def _is_malformed() -> Column:
     )
 
 
-def _complete(rows: DataFrame) -> DataFrame:
-    events = rows.select(
+def events_of(parsed: DataFrame) -> DataFrame:
+    """The complete events among parsed lines."""
+    events = parsed.filter(F.col("envelope._malformed").isNull()).select(
         "envelope.did",
         "envelope.time_us",
         "envelope.kind",
@@ -68,14 +70,17 @@ def to_raw_events(lines: DataFrame, payload: str = "value", ingested_at: Column
     A line that is not a JSON object, or whose did, time_us or kind is missing, empty or
     zero, gives no row.  Collection and operation are NULL for events without a commit.
     """
-    rows = _parsed(lines, payload, ingested_at)
-    return _complete(rows.filter(F.col("envelope._malformed").isNull()))
+    return events_of(parse_lines(lines, payload, ingested_at))
+
+
+def malformed_of(parsed: DataFrame) -> DataFrame:
+    """The parsed lines that are no JSON object, with the time they came in."""
+    return parsed.filter(_is_malformed()).select("raw_json", "ingested_at")
 
 
 def quarantine(lines: DataFrame, payload: str = "value", ingested_at: Column | None = None) -> DataFrame:
     """The lines ``to_raw_events`` could not read as JSON, with the time they came in."""
-    rows = _parsed(lines, payload, ingested_at)
-    return rows.filter(_is_malformed()).select("raw_json", "ingested_at")
+    return malformed_of(parse_lines(lines, payload, ingested_at))
 
 
 def split_malformed(

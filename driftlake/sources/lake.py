@@ -1,32 +1,38 @@
 """Lake tables on parquet directories, partitioned by day.
 
-A table lives in ``root/name``, day folders outermost, for batch and stream writers alike.
-A micro-batch's files carry the batch in their names, so a batch that runs again is known
-and leaves the first run's files.  Rewritten files are named ``packed-``; streams that read the table
-skip them, their rows came by earlier.  Days are cut in the session's time zone, which
-``driftlake.session`` pins to UTC.
+A table lives in ``root/name`` and only grows: files are added, never rewritten, so a stream
+that reads it gets every row once, whenever it starts.  Day folders are outermost; the
+innermost folder names the write a file came with.  A micro-batch overwrites its own folders
+alone (Spark's dynamic partition overwrite), so one that runs again leaves no duplicates.
+
+Compaction makes a copy: whole days, packed into few sorted files, below ``root/_packed``.
+A reader takes a day from its copy if that holds as many of the table's files as there are, and else
+from the table, so late rows are seen before the day is packed again.  A copy counts once
+Spark has marked it as complete.  Table and copy go together when a day's time is up.
+
+Days are cut in the session's time zone, which ``driftlake.session`` pins to UTC.
 """
 
 from __future__ import annotations
 
-import hashlib
 import os
+import re
 import uuid
+from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftlake.schemas import TABLES, TableSpec
-
+from driftlake.schemas import BATCH, TABLES, TableSpec
 
-# Where files wait until they are complete; readers skip the folder.
-STAGING = "_staging"
-PACKED = "packed-"
+# Where packed days are kept, and the folder that says how many files a copy holds.
+PACKED = "_packed"
+FILES = "files"
 
-# The writer and the number of the micro-batch in a file's path.
-BATCH_FILE = "/part-b([0-9a-f]{8})-([0-9]{12})-[^/]*$"
+# The write that batch appends belong to.
+APPENDED = "append"
 
 
 def with_day(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -48,6 +54,12 @@ def laid_out(df: DataFrame, spec: TableSpec, files_per_day: int | None = None) -
     return dated.sortWithinPartitions(*spec.partitions, spec.time_column)
 
 
+def _overwrite_partitions(rows: DataFrame, path: str, partitions: Sequence[str]) -> None:
+    """Put rows in the place of the partitions they belong to."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partitions).parquet(path)
+
+
 @dataclass(frozen=True)
 class Lake(Mapping):
     """Reads like a mapping from table name to DataFrame."""
@@ -58,6 +70,9 @@ class Lake(Mapping):
     def path(self, name: str) -> str:
         return os.path.join(self.root, name)
 
+    def packed_path(self, name: str) -> str:
+        return os.path.join(self.root, PACKED, name)
+
     def _fs(self, path: str):
         jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm_path
@@ -66,163 +81,105 @@ class Lake(Mapping):
         fs, target = self._fs(path)
         return fs.exists(target)
 
+    def _glob(self, *parts: str) -> list[str]:
+        fs, pattern = self._fs(os.path.join(*parts))
+        return [status.getPath().toString() for status in fs.globStatus(pattern) or []]
+
     def ensure_table(self, spec: TableSpec) -> str:
         """Create the table, empty, where it is missing."""
         target = self.path(spec.name)
         if not self._exists(target):
             empty = self.spark.createDataFrame([], spec.stored_schema)
-            empty.write.partitionBy(*spec.partitions).parquet(target)
+            empty.write.partitionBy(*spec.stored_partitions).parquet(target)
         return target
 
     def ensure_all(self) -> None:
         for spec in TABLES.values():
             self.ensure_table(spec)
 
-    def is_streamed(self, name: str) -> bool:
-        """Whether a stream sink keeps the table; its log decides which files count."""
-        return self._exists(os.path.join(self.path(name), "_spark_metadata"))
-
-    def require_batch(self, name: str) -> None:
-        if self.is_streamed(name):
-            raise ValueError(f"{name} is written by a stream; only its log's files would be read")
-
     def append(self, spec: TableSpec, df: DataFrame, files_per_day: int | None = None) -> None:
-        self.require_batch(spec.name)
-        rows = df.select(*spec.schema.names)
-        laid_out(rows, spec, files_per_day).write.mode("append").partitionBy(*spec.partitions).parquet(
-            self.path(spec.name)
-        )
-
-    def writer(self, checkpoint: str) -> str:
-        """A short name for the stream whose progress is in ``checkpoint``; another checkpoint, another name."""
-        fs, identity = self._fs(os.path.join(checkpoint, "metadata"))
-        stream = fs.open(identity)
-        content = bytes(stream.readAllBytes())
-        stream.close()
-        return hashlib.sha256(content).hexdigest()[:8]
+        rows = laid_out(df.select(*spec.schema.names), spec, files_per_day).withColumn(BATCH, F.lit(APPENDED))
+        rows.write.mode("append").partitionBy(*spec.stored_partitions).parquet(self.path(spec.name))
 
     def write_batch(
         self, spec: TableSpec, df: DataFrame, writer: str, batch_id: int, files_per_day: int | None = None
     ) -> None:
-        """Append one micro-batch, for ``foreachBatch``.
+        """Write one micro-batch of the stream ``writer``, for ``foreachBatch``.
 
-        A batch that runs again finishes what its first run had staged whole, and writes
-        nothing if that was in place: streams that read the table see each file once.  With
+        A batch that runs again puts its rows in the place of the first run's.  With
         ``files_per_day`` a partition gets at most that many files; without it the rows are
         written from where they are.  Either way each file is sorted.
         """
-        self.require_batch(spec.name)
-        tag = f"part-b{writer}-{batch_id:012d}-"
-        staged = os.path.join(self.path(spec.name), STAGING, tag)
-        if not self._exists(os.path.join(staged, "_SUCCESS")):
-            fs, earlier = self._fs(os.path.join(self.path(spec.name), *["*"] * len(spec.partitions), f"{tag}*"))
-            if fs.globStatus(earlier):
-                return
-            rows = df.select(*spec.schema.names)
-            if files_per_day is None:
-                rows = with_day(rows, spec).sortWithinPartitions(*spec.partitions, spec.time_column)
-            else:
-                rows = laid_out(rows, spec, files_per_day)
-            self._staged(spec, tag, rows)
-        self._move_in(spec, staged, tag)
-
-    def _staged(self, spec: TableSpec, tag: str, rows: DataFrame) -> None:
-        staged = os.path.join(self.path(spec.name), STAGING, tag)
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(*spec.partitions).parquet(staged)
-
-    def _move_in(self, spec: TableSpec, staged: str, tag: str) -> None:
-        """Move the staged files to the table, with ``tag`` before their names."""
-        fs, source = self._fs(staged)
-        if not fs.exists(source):
-            return
-        found = fs.listFiles(source, True)
-        files = []
-        while found.hasNext():
-            files.append(found.next().getPath())
-        for file in files:
-            if file.getName().endswith(".parquet"):
-                folder = file.getParent().toString().removeprefix(fs.makeQualified(source).toString()).strip("/")
-                _, target = self._fs(os.path.join(self.path(spec.name), folder))
-                fs.mkdirs(target)
-                _, named = self._fs(f"{target.toString()}/{tag}{file.getName()}")
-                if not fs.rename(file, named):
-                    raise OSError(f"could not move {file.toString()} to {named.toString()}")
-        fs.delete(source, True)
-
-    def swap(self, spec: TableSpec, rows: DataFrame, old: Sequence[str]) -> None:
-        """Put ``rows`` in the place of the files ``old``.
-
-        The new files are complete, and the swap is noted, before anything changes; rows are
-        never missing, though a reader amid the swap may see both.  One that breaks off is
-        undone by nothing and finished by ``finish_swaps``.
-        """
-        tag = f"{PACKED}{uuid.uuid4().hex}-"
-        self._staged(spec, tag, rows)
-        # Renamed when written: a note is there whole or not at all.
-        draft, note = (os.path.join(self.path(spec.name), STAGING, tag + end) for end in ("draft", "note"))
-        fs, open_draft = self._fs(draft)
-        stream = fs.create(open_draft, True)
-        stream.write(bytearray("\n".join(old).encode()))
-        stream.close()
-        if not fs.rename(open_draft, self._fs(note)[1]):
-            raise OSError(f"could not note the swap {note}")
-        self._finish(spec, tag)
-
-    def _finish(self, spec: TableSpec, tag: str) -> None:
-        staging = os.path.join(self.path(spec.name), STAGING)
-        fs, note = self._fs(os.path.join(staging, tag + "note"))
-        stream = fs.open(note)
-        old = bytes(stream.readAllBytes()).decode().split("\n")
-        stream.close()
-        self._move_in(spec, os.path.join(staging, tag), tag)
-        for path in filter(None, old):
-            fs.delete(self._fs(path)[1], False)
-        fs.delete(note, False)
-
-    def finish_swaps(self, spec: TableSpec) -> int:
-        """Finish swaps that broke off; returns how many there were."""
-        fs, notes = self._fs(os.path.join(self.path(spec.name), STAGING, f"{PACKED}*-note"))
-        tags = [status.getPath().getName().removesuffix("note") for status in fs.globStatus(notes) or []]
-        for tag in tags:
-            self._finish(spec, tag)
-        return len(tags)
-
-    def replace_days(self, spec: TableSpec, df: DataFrame, days: Sequence[str], files_per_day: int | None = None) -> None:
-        """Put rows in the place of whole days, given as ``YYYY-MM-DD``; other days stay as they are."""
-        self.require_batch(spec.name)
-        self.finish_swaps(spec)
-        old = []
-        for day in days:
-            fs, folder = self._fs(os.path.join(self.path(spec.name), f"{spec.date_column}={day}"))
-            if fs.exists(folder):
-                found = fs.listFiles(folder, True)
-                while found.hasNext():
-                    old.append(found.next().getPath().toString())
-        self.swap(spec, laid_out(df.select(*spec.schema.names), spec, files_per_day), old)
-
-    def read_files(self, spec: TableSpec, files: Sequence[str]) -> DataFrame:
-        """The rows of some of the table's files."""
-        reader = self.spark.read.schema(spec.stored_schema).option("basePath", self.path(spec.name))
-        return reader.parquet(*files).select(*spec.columns)
+        rows = df.select(*spec.schema.names)
+        if files_per_day is None:
+            rows = with_day(rows, spec).sortWithinPartitions(*spec.partitions, spec.time_column)
+        else:
+            rows = laid_out(rows, spec, files_per_day)
+        labelled = rows.withColumn(BATCH, F.lit(f"{writer}-{batch_id:012d}"))
+        _overwrite_partitions(labelled, self.path(spec.name), spec.stored_partitions)
 
-    def drop_days(self, spec: TableSpec, days: Sequence[str]) -> None:
-        """Delete whole day partitions; no row is read."""
-        self.require_batch(spec.name)
-        for day in days:
-            fs, target = self._fs(os.path.join(self.path(spec.name), f"{spec.date_column}={day}"))
-            fs.delete(target, True)
+    def live(self, spec: TableSpec) -> DataFrame:
+        """The table's own files, with the stored columns."""
+        return self.spark.read.schema(spec.stored_schema).parquet(self.path(spec.name))
+
+    def read(self, name: str) -> DataFrame:
+        return self.read_table(TABLES[name])
+
+    def read_table(self, spec: TableSpec) -> DataFrame:
+        """The table's rows, days that are packed from their copies."""
+        live = self.live(spec)
+        packed = self.packed_days(spec, live)
+        if not packed:
+            return live.select(*spec.columns)
+        days = [F.lit(day).cast("date") for day in sorted(packed)]
+        rest = live.filter(F.col(spec.date_column).isNull() | ~F.col(spec.date_column).isin(*days))
+        reader = self.spark.read.schema(spec.stored_schema).option("basePath", self.packed_path(spec.name))
+        copies = reader.parquet(*[packed[day] for day in sorted(packed)])
+        return rest.select(*spec.columns).unionByName(copies.select(*spec.columns))
+
+    def stream(self, name: str, max_files: int | None = None, max_bytes: str | None = None) -> DataFrame:
+        """The table as a stream: first all its files, then each as it is added."""
+        spec = TABLES[name]
+        reader = self.spark.readStream.schema(spec.stored_schema)
+        if max_files:
+            reader = reader.option("maxFilesPerTrigger", max_files)
+        if max_bytes:
+            reader = reader.option("maxBytesPerTrigger", max_bytes)
+        return reader.parquet(self.path(name)).select(*spec.columns)
 
+    # -- days ----------------------------------------------------------------------
     def days(self, spec: TableSpec) -> list[str]:
         """The table's day partitions, from its folder names."""
-        fs, folder = self._fs(self.path(spec.name))
-        names = [status.getPath().getName() for status in fs.listStatus(folder)]
         prefix = f"{spec.date_column}="
-        return sorted(name.removeprefix(prefix) for name in names if name.startswith(prefix))
+        names = [os.path.basename(path) for path in self._glob(self.path(spec.name), f"{prefix}*")]
+        return sorted(name.removeprefix(prefix) for name in names)
 
-    def read(self, name: str) -> DataFrame:
+    def newest_days(self, name: str, rows: int, wanted: Column | None = None) -> DataFrame:
+        """The table cut to the newest days that hold ``rows`` (``wanted``) rows, and one day more.
+
+        Days are probed from the newest, twice as many each time, and a probe stops at
+        enough rows; earlier days are never opened.  The day more is for rows that arrive
+        after midnight: rows more than a day late are not among the newest.
+        """
         spec = TABLES[name]
-        return self.spark.read.schema(spec.stored_schema).parquet(self.path(name)).select(*spec.columns)
+        table = self.read_table(spec)
+        table = table if wanted is None else table.filter(wanted)
+        days, take = self.days(spec), 1
+        while take < len(days):
+            newest = table.filter(F.col(spec.date_column) >= F.lit(days[-take]).cast("date"))
+            if newest.select(F.lit(1)).limit(rows).count() >= rows:
+                return table.filter(F.col(spec.date_column) >= F.lit(days[-take - 1]).cast("date"))
+            take *= 2
+        return table
+
+    def drop_days(self, spec: TableSpec, days: Sequence[str]) -> None:
+        """Delete whole day partitions and their copies; no row is read."""
+        for day in days:
+            folder = f"{spec.date_column}={day}"
+            copies = self._glob(self.packed_path(spec.name), "run=*", folder)
+            for path in [os.path.join(self.path(spec.name), folder), *copies]:
+                fs, target = self._fs(path)
+                fs.delete(target, True)
 
     def publish_days(
         self, spec: TableSpec, target: "Lake", first_day: str, last_day: str, files_per_day: int | None = None
@@ -230,22 +187,67 @@ class Lake(Mapping):
         """Copy whole days to another lake in few, sorted files.
 
         The days are replaced there, so publishing a day again, with rows that came late,
-        leaves no duplicates.
+        leaves no duplicates.  Streams are to read the table itself, not the copy.
         """
         target.ensure_table(spec)
         bounds = F.col(spec.date_column).between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))
-        days = [day for day in target.days(spec) if first_day <= day <= last_day]
-        target.replace_days(spec, self.read(spec.name).filter(bounds), days, files_per_day)
+        rows = self.read_table(spec).filter(bounds).select(*spec.schema.names)
+        published = laid_out(rows, spec, files_per_day).withColumn(BATCH, F.lit("published"))
+        _overwrite_partitions(published, target.path(spec.name), spec.stored_partitions)
+
+    # -- packed copies -------------------------------------------------------------
+    def _files_by_day(self, spec: TableSpec, live: DataFrame) -> Counter:
+        """How many files each day has, from the listing the reader has made anyway."""
+        found = (re.search(rf"/{spec.date_column}=([0-9-]+)/", path) for path in live.inputFiles())
+        return Counter(match[1] for match in found if match)
+
+    def packed_days(self, spec: TableSpec, live: DataFrame | None = None) -> dict[str, str]:
+        """The folder of each day's copy, for days whose copy holds all of their files."""
+        done = self._glob(self.packed_path(spec.name), "run=*", "_SUCCESS")
+        if not done:
+            return {}
+        there = self._files_by_day(spec, self.live(spec) if live is None else live)
+        chosen = {}
+        for marker in sorted(done):
+            for path in self._glob(os.path.dirname(marker), f"{spec.date_column}=*", f"{FILES}=*"):
+                day, files = re.search(rf"/{spec.date_column}=([^/]+)/{FILES}=(\d+)$", path).groups()
+                if there.get(day) == int(files):
+                    chosen[day] = path
+        return chosen
+
+    def pack_days(self, spec: TableSpec, days: Sequence[str]) -> None:
+        """Copy whole days into few sorted files; one write for all of them, none if there are no days.
+
+        Rows and the number of files they come from are of one listing.
+        """
+        if not days:
+            return
+        live = self.live(spec)
+        there = self._files_by_day(spec, live)
+        wanted = {day: there[day] for day in days if day in there}
+        files = F.create_map(*[F.lit(part) for pair in wanted.items() for part in pair])
+        day = F.col(spec.date_column).cast("string")
+        rows = live.filter(F.col(spec.date_column).isin(*[F.lit(name).cast("date") for name in wanted]))
+        folders = [spec.date_column, FILES, *spec.extra_partitions]
+        packed = laid_out(rows.select(*spec.schema.names), spec).withColumn(FILES, files[day])
+        self._drop_stale(spec)
+        packed.sortWithinPartitions(*folders, spec.time_column).write.partitionBy(*folders).parquet(
+            os.path.join(self.packed_path(spec.name), f"run={uuid.uuid4().hex}")
+        )
 
-    def stream(self, name: str, max_files: int | None = None, max_bytes: str | None = None) -> DataFrame:
-        """The table as a stream of newly added files; rewritten ones bring nothing new."""
-        spec = TABLES[name]
-        reader = self.spark.readStream.schema(spec.stored_schema).option("pathGlobFilter", "part-*")
-        if max_files:
-            reader = reader.option("maxFilesPerTrigger", max_files)
-        if max_bytes:
-            reader = reader.option("maxBytesPerTrigger", max_bytes)
-        return reader.parquet(self.path(name)).select(*spec.columns)
+    def _drop_stale(self, spec: TableSpec) -> None:
+        """Delete copies no reader takes any more, and those that never got complete."""
+        used = set(self.packed_days(spec).values())
+        for path in self._glob(self.packed_path(spec.name), "run=*", f"{spec.date_column}=*", f"{FILES}=*"):
+            if path not in used:
+                fs, target = self._fs(path)
+                fs.delete(target, True)
+
+    def reader_files(self, spec: TableSpec) -> list[str]:
+        """Folders whose files a reader opens: packed copies, and the table's other days."""
+        packed = self.packed_days(spec)
+        live = [os.path.join(self.path(spec.name), f"{spec.date_column}={day}") for day in self.days(spec) if day not in packed]
+        return [*live, *packed.values()]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in TABLES or not self._exists(self.path(name)):

@@ -1,15 +1,17 @@
 """Raw, staging, core and sentiment layers as streams between lake tables.
 
-Each target table has its own query.  A micro-batch that runs again after a restart from
-the checkpoint keeps its first run's files, so it appears exactly once, and the table stays
-open to compaction and retention.  A query reads only its record type's partition of
-the raw table.
+One query reads an input; what it makes may go to several tables.  Landed lines are parsed
+once, for events and for what is no event; posts are read once, with their facets, for the
+three tables made of them.  A micro-batch that runs again after a restart from the
+checkpoint overwrites its first run's folders, so it appears exactly once.  (A stream that
+has read a batch whose writer then breaks off within it reads that batch again.)  A staging query reads only its record
+type's partition of the raw table.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,8 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from driftlake.functions.sentiment import NEGATIVE_WORDS, POSITIVE_WORDS
 from driftlake.operators import core, sentiment, staging
-from driftlake.schemas import LIKE, RAW_EVENTS, REPOST, ROUTES, TABLES, TableSpec
-from driftlake.sources.events import read_events_stream, to_raw_events
+from driftlake.schemas import LIKE, QUARANTINE, RAW_EVENTS, REPOST, ROUTES, TABLES, TableSpec
+from driftlake.sources.events import events_of, malformed_of, parse_lines, read_events_stream, wanted_dids
 from driftlake.sources.lake import Lake
 
 # Fixed value: how often each layer looks for new input.
@@ -44,27 +46,70 @@ class LayerConfig:
         return {"availableNow": True} if self.available_now else {"processingTime": self.trigger}
 
 
-def append_stream(df: DataFrame, spec: TableSpec, lake: Lake, config: LayerConfig) -> StreamingQuery:
-    """Append a stream to a lake table, in its day partitions."""
-    checkpoint = os.path.join(config.checkpoints, spec.name)
-    lake.ensure_table(spec)
+def _writer(batch: DataFrame) -> str:
+    """The stream a micro-batch is of; the same after a restart from its checkpoint."""
+    return (batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "0" * 8)[:8]
+
+
+def _start(
+    df: DataFrame, name: str, checkpoint: str, write: Callable[[DataFrame, int], None], trigger: dict[str, object]
+) -> StreamingQuery:
     return (
-        df.writeStream.foreachBatch(
-            lambda batch, batch_id: lake.write_batch(
-                spec, batch, lake.writer(checkpoint), batch_id, config.write_tasks
-            )
-        )
+        df.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .queryName(f"to_{spec.name}")
-        .trigger(**config.trigger_options())
+        .queryName(f"to_{name}")
+        .trigger(**trigger)
         .start()
     )
 
 
+def append_stream(df: DataFrame, spec: TableSpec, lake: Lake, config: LayerConfig) -> StreamingQuery:
+    """Append a stream to a lake table, in its day partitions."""
+    lake.ensure_table(spec)
+    return _start(
+        df,
+        spec.name,
+        os.path.join(config.checkpoints, spec.name),
+        lambda batch, batch_id: lake.write_batch(spec, batch, _writer(batch), batch_id, config.write_tasks),
+        config.trigger_options(),
+    )
+
+
+def write_all(
+    lake: Lake, batch: DataFrame, batch_id: int, targets: Mapping[TableSpec, Callable[[DataFrame], DataFrame]],
+    writer: str | None = None, files_per_day: int | None = None,
+) -> None:
+    """One micro-batch to several tables, for ``foreachBatch``.
+
+    The batch is kept for the writes, and no counts or emptiness checks run it again.  Each
+    table gets it under its number, so running again leaves no duplicates in any of them.
+    """
+    batch.persist()
+    try:
+        for spec, build in targets.items():
+            lake.write_batch(spec, build(batch), writer or _writer(batch), batch_id, files_per_day)
+    finally:
+        batch.unpersist()
+
+
 def start_raw(spark: SparkSession, config: LayerConfig, ingested_at: Column | None = None) -> list[StreamingQuery]:
+    """Landed lines to the raw table, and those that are no event to the quarantine, from one parse."""
     lake = Lake(spark, config.lake_root)
     lines = read_events_stream(spark, config.landing, config.max_files, config.max_bytes)
-    return [append_stream(to_raw_events(lines, ingested_at=ingested_at), RAW_EVENTS, lake, config)]
+    targets = {RAW_EVENTS: events_of, QUARANTINE: malformed_of}
+    for spec in targets:
+        lake.ensure_table(spec)
+    # Stamped in the stream, where a batch that runs again has its first run's clock.
+    parsed = parse_lines(lines, ingested_at=ingested_at)
+    return [
+        _start(
+            parsed,
+            RAW_EVENTS.name,
+            os.path.join(config.checkpoints, RAW_EVENTS.name),
+            lambda batch, batch_id: write_all(lake, batch, batch_id, targets, files_per_day=config.write_tasks),
+            config.trigger_options(),
+        )
+    ]
 
 
 def _input(lake: Lake, name: str, config: LayerConfig) -> DataFrame:
@@ -81,16 +126,22 @@ def start_staging(spark: SparkSession, config: LayerConfig) -> list[StreamingQue
 
 
 def start_core(spark: SparkSession, config: LayerConfig) -> list[StreamingQuery]:
-    """Posts fan out to three tables; likes and reposts join in one."""
+    """Posts fan out to three tables from one query; likes and reposts join in one table."""
     lake = Lake(spark, config.lake_root)
-    queries = [
-        append_stream(build(_input(lake, "stg_posts", config)), TABLES[name], lake, config)
-        for name, build in core.POST_FAN_OUT.items()
-    ]
+    targets = {TABLES[name]: build for name, build in core.FACETED_FAN_OUT.items()}
+    for spec in targets:
+        lake.ensure_table(spec)
+    posts = _start(
+        core.with_facets(_input(lake, "stg_posts", config)),
+        "core_posts",
+        os.path.join(config.checkpoints, "core_posts"),
+        lambda batch, batch_id: write_all(lake, batch, batch_id, targets, files_per_day=config.write_tasks),
+        config.trigger_options(),
+    )
     engagement = core.core_engagement(
         _input(lake, ROUTES[LIKE], config), _input(lake, ROUTES[REPOST], config)
     )
-    return [*queries, append_stream(engagement, TABLES["core_engagement"], lake, config)]
+    return [posts, append_stream(engagement, TABLES["core_engagement"], lake, config)]
 
 
 def start_sentiment(
@@ -135,18 +186,27 @@ def run_layers(spark: SparkSession, config: LayerConfig) -> list[StreamingQuery]
     return started
 
 
-def route_batch(lake: Lake, batch: DataFrame, batch_id: int, writer: str = "0" * 8) -> None:
-    """One raw micro-batch to all staging tables, for ``foreachBatch``.
+def start_listed(
+    events: DataFrame, lake: Lake, spec: TableSpec, dids: Callable[[], DataFrame], checkpoint: str, **trigger: object
+) -> StreamingQuery:
+    """Append the events of listed accounts to a table; the list is read anew for every micro-batch.
 
-    A batch that runs again leaves no duplicates.  The batch is kept for the six writes and
-    no counts or emptiness checks run it again.
+    ``dids`` gives the list as it is then (a DataFrame with a ``did`` column), so an account that is added between
+    two batches counts from the next one on.
     """
-    batch.persist()
-    try:
-        for name, build in staging.STAGING.items():
-            lake.write_batch(TABLES[name], build(batch), writer, batch_id)
-    finally:
-        batch.unpersist()
+    lake.ensure_table(spec)
+    return _start(
+        events,
+        f"listed_{spec.name}",
+        checkpoint,
+        lambda batch, batch_id: lake.write_batch(spec, wanted_dids(batch, dids()), _writer(batch), batch_id),
+        trigger,
+    )
+
+
+def route_batch(lake: Lake, batch: DataFrame, batch_id: int, writer: str | None = None) -> None:
+    """One raw micro-batch to all staging tables, for ``foreachBatch``."""
+    write_all(lake, batch, batch_id, {TABLES[name]: build for name, build in staging.STAGING.items()}, writer)
 
 
 def start_router(
@@ -155,10 +215,6 @@ def start_router(
     """All staging tables from one query, reading the raw stream once."""
     for name in staging.STAGING:
         lake.ensure_table(TABLES[name])
-    return (
-        raw_events.writeStream.foreachBatch(lambda batch, batch_id: route_batch(lake, batch, batch_id, lake.writer(checkpoint)))
-        .option("checkpointLocation", checkpoint)
-        .queryName("to_staging")
-        .trigger(**trigger)
-        .start()
+    return _start(
+        raw_events, "staging", checkpoint, lambda batch, batch_id: route_batch(lake, batch, batch_id), trigger
     )

@@ -29,9 +29,8 @@ def lake(spark, tmp_path):
 
 def fragmented(lake, rows, files=10):
     lake.ensure_table(LIKES)
-    likes(rows).withColumn("event_date", F.to_date("event_time")).repartition(files).write.mode("append").partitionBy(
-        "event_date"
-    ).parquet(lake.path(LIKES.name))
+    many = likes(rows).withColumn("event_date", F.to_date("event_time")).withColumn("batch", F.lit("many"))
+    many.repartition(files).write.mode("append").partitionBy(*LIKES.stored_partitions).parquet(lake.path(LIKES.name))
 
 
 def fingerprint(df):
@@ -76,8 +75,11 @@ def test_compaction_keeps_the_rows(lake, rows):
     report = maintenance.compact_table(lake, LIKES)
     assert (report["files_before"], report["files_after"], report["days_rewritten"]) == (30, 3, 3)
     assert fingerprint(lake.read(LIKES.name)) == before
-    times = [row.event_time for row in lake.spark.read.parquet(lake.path(LIKES.name) + "/event_date=2024-01-02").collect()]
-    assert times == sorted(times)
+    copy = lake.packed_days(LIKES)["2024-01-02"]
+    times = [row.event_time for row in lake.spark.read.parquet(copy).collect()]
+    assert times == sorted(times) and len(times) == 40
+    # The table's own files are there as before, for streams.
+    assert lake.live(LIKES).count() == 120 and len(lake.live(LIKES).inputFiles()) == 30
 
 
 def test_compaction_leaves_days_in_shape_alone(spark, lake, rows):
@@ -86,7 +88,7 @@ def test_compaction_leaves_days_in_shape_alone(spark, lake, rows):
     lake.append(LIKES, extra)
     before = fingerprint(lake.read(LIKES.name))
     untouched = {row.path for row in maintenance.list_files(spark, lake.path(LIKES.name)).collect() if "2024-01-01" not in row.path}
-    assert [row.day for row in maintenance.fragmented_days(lake, LIKES).collect()] == ["2024-01-01"]
+    assert maintenance.fragmented_days(lake, LIKES) == ["2024-01-01"]
     report = maintenance.compact_table(lake, LIKES)
     assert (report["files_before"], report["files_after"], report["days_rewritten"]) == (4, 3, 1)
     assert untouched <= {row.path for row in maintenance.list_files(spark, lake.path(LIKES.name)).collect()}
@@ -94,6 +96,40 @@ def test_compaction_leaves_days_in_shape_alone(spark, lake, rows):
     assert maintenance.compact_table(lake, LIKES)["days_rewritten"] == 0
 
 
+def test_rows_that_come_after_packing_are_read(lake, rows):
+    fragmented(lake, rows)
+    maintenance.compact_table(lake, LIKES)
+    assert set(lake.packed_days(LIKES)) == {"2024-01-01", "2024-01-02", "2024-01-03"}
+    lake.append(LIKES, likes(rows, days=1, per_day=5))
+    assert set(lake.packed_days(LIKES)) == {"2024-01-02", "2024-01-03"}
+    assert lake.read(LIKES.name).count() == 125
+    assert maintenance.compact_table(lake, LIKES, closed_before="2024-01-01")["days_rewritten"] == 0
+    report = maintenance.compact_table(lake, LIKES)
+    assert (report["days_rewritten"], report["files_after"]) == (1, 3)
+    assert lake.read(LIKES.name).count() == 125 and set(lake.packed_days(LIKES)) == set(lake.days(LIKES))
+
+
+def test_a_copy_counts_once_it_is_complete(spark, lake, rows):
+    fragmented(lake, rows)
+    before = fingerprint(lake.read(LIKES.name))
+    maintenance.compact_table(lake, LIKES)
+    (marker,) = lake._glob(lake.packed_path(LIKES.name), "run=*", "_SUCCESS")
+    fs, path = lake._fs(marker)
+    fs.delete(path, False)  # as if the write had broken off
+    assert lake.packed_days(LIKES) == {} and fingerprint(lake.read(LIKES.name)) == before
+    assert maintenance.compact_table(lake, LIKES)["files_after"] == 3
+    assert fingerprint(lake.read(LIKES.name)) == before
+
+
+def test_filters_reach_packed_and_other_days(lake, rows):
+    fragmented(lake, rows)
+    lake.pack_days(LIKES, ["2024-01-02"])
+    day = lake["stg_likes"].filter(F.col("event_date") == F.lit("2024-01-02").cast("date"))
+    assert day.count() == 40
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(event_date") >= 1
+
+
 def test_compaction_of_a_table_with_null_partitions(lake, rows):
     lake.ensure_table(RAW_EVENTS)
     for n in range(3):
@@ -171,7 +207,7 @@ def test_publish_days_replaces_only_its_days(spark, lake, rows, tmp_path):
 
 def test_commit_history_and_growth(rows):
     raw = rows("raw_events", *[{"ingested_at": at("10:00:00") + timedelta(minutes=n), "raw_json": "x" * 1024} for n in (0, 0, 1, 10)])
-    history = maintenance.commit_history(raw)
+    history = maintenance.commit_history(raw, payload="raw_json")
     assert [(r.added_records, r.total_records, r.total_bytes) for r in history.orderBy("committed_at").collect()] == [
         (2, 2, 2048), (1, 3, 3072), (1, 4, 4096),
     ]
@@ -181,12 +217,24 @@ def test_commit_history_and_growth(rows):
     assert growth.mb_per_hour == round(2048 / 600 * 3600 / 1024**2, 2)
 
 
+def test_file_history_reads_no_column(spark, lake, rows):
+    fragmented(lake, rows)
+    table = lake.live(LIKES)
+    history = maintenance.file_history(table).collect()
+    listed = maintenance.list_files(spark, lake.path(LIKES.name)).agg(F.sum("bytes")).first()[0]
+    last = max(history, key=lambda row: row.committed_at)
+    assert (last.total_records, last.total_bytes) == (120, listed)
+    assert sum(row.added_bytes for row in history) == listed
+    plan = table.groupBy("_metadata.file_path").count()._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+
+
 def test_growth_guards(spark):
     schema = "committed_at timestamp, total_records long, total_bytes long"
     cases = {
-        "insufficient_history": [(at("10:00:00"), 1, 1)],
-        "missing_timestamps": [(None, 1, 1), (None, 2, 2)],
-        "zero_elapsed": [(at("10:00:00"), 1, 1), (at("10:00:00"), 2, 2)],
+        "too few commits": [(at("10:00:00"), 1, 1)],
+        "no commit times": [(None, 1, 1), (None, 2, 2)],
+        "no time between commits": [(at("10:00:00"), 1, 1), (at("10:00:00"), 2, 2)],
     }
     for guard, commits in cases.items():
         row = maintenance.project_growth(spark.createDataFrame(commits, schema)).first()

@@ -143,10 +143,10 @@ def test_routing(rows):
 def test_layer_report(rows):
     tables = empty_tables(rows, raw_events=[{"collection": POST, "ingested_at": at("11:56:00")}, {}])
     got = {r.check_name: (r.value, r.status) for r in quality.layer_report(tables, at("12:00:00")).collect()}
-    assert got["raw_count"] == (2, "PASS")
-    assert got["raw_fresh"] == (1, "PASS")
-    assert got["raw_fields"] == (1, "PASS")
-    assert got["core_posts"] == (0, "FAIL")
+    assert got["raw_events.rows"] == (2, "PASS")
+    assert got["raw_events.recent"] == (1, "PASS")
+    assert got["raw_events.complete"] == (1, "PASS")
+    assert got["core_posts.rows"] == (0, "FAIL")
     assert len(got) == 17
 
 

@@ -76,6 +76,23 @@ def test_model_hook_maps_labels_of_either_case():
     assert list(results[0].columns) == TABLES["core_post_sentiment"].schema.names
 
 
+def test_models_get_small_batches_and_are_told_apart():
+    sizes = []
+
+    def loader(lead):
+        def load():
+            return lambda texts: sizes.append(len(texts)) or [{"positive": lead, "negative": 1 - lead, "neutral": 0} for _ in texts]
+
+        return load
+
+    frame = pd.DataFrame({name: ["x"] * 10 for name in ("did", "time_us", "event_time", "rkey", "text", "prepared", "ingested_at")})
+    labels = [
+        next(sentiment.make_scorer(loader(lead), "same key", 4)(iter([frame]))).sentiment_label[0] for lead in (0.9, 0.1, 0.9)
+    ]
+    assert labels == ["positive", "negative", "positive"]
+    assert sizes[:3] == [4, 4, 2] and max(sizes) == 4
+
+
 def test_model_hook_on_spark(spark, rows):
     from driftlake_checks.queries import lexicon_model, ship_package
 
