@@ -1,9 +1,7 @@
-"""Ordered work over keys of any size.
+"""Sums along time over keys of any size.
 
 A window over a key puts all its rows into one task.  Where one key may hold a large part
-of the table these helpers do the same work over bounded pieces: rows get their exact place
-in the key's order from range-partitioned blocks, and look-backs run over slices of that
-order that carry the few rows before them along.
+of the table these helpers do the same work over bounded pieces of time.
 """
 
 from __future__ import annotations
@@ -16,76 +14,6 @@ from pyspark.sql import functions as F
 from driftlake.session import settle
 
 
-def with_position(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    name: str = "position",
-    partitions: int | None = None,
-) -> DataFrame:
-    """Number each key's rows from 1 in the given order, which must have no ties.
-
-    The table is range-partitioned by key and order, so a large key spreads over many
-    partitions.  A row's number is its place in its partition plus the rows of its key in
-    the partitions before.  Those per-partition counts are one row per key and partition.
-    Without ``partitions`` AQE sizes them by bytes.
-    """
-    bounds = [*keys, *order]
-    ranged = df.repartitionByRange(partitions, *bounds) if partitions else df.repartitionByRange(*bounds)
-    ranged = ranged.sortWithinPartitions(*bounds)
-    # Partition ids and row numbers must not change between the two uses below.
-    blocks = settle(
-        ranged.withColumn("_block", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id())
-    )
-    counts = blocks.groupBy(*keys, "_block").agg(
-        F.count(F.lit(1)).alias("_size"), F.min("_row").alias("_first")
-    )
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *[F.col(key).alias(f"_k_{key}") for key in keys],
-        F.col("_block").alias("_b"),
-        (F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first") + F.lit(1)).alias("_shift"),
-    )
-    same = F.col("_block") == F.col("_b")
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
-    placed = blocks.join(offsets, same)
-    return placed.select(*df.columns, (F.col("_row") + F.col("_shift")).alias(name))
-
-
-def with_lookback(
-    df: DataFrame,
-    keys: Sequence[str],
-    columns: dict[str, object],
-    rows_back: int,
-    position: str = "position",
-    slice_rows: int = 100_000,
-) -> DataFrame:
-    """Evaluate window columns that look at most ``rows_back`` rows back in a key's order.
-
-    ``columns`` maps a name to a function from a window to a column.  Each slice of
-    ``slice_rows`` positions also gets the rows just before it, for reading only; slices
-    are never shorter than that look-back.
-    """
-    slice_rows = max(slice_rows, rows_back)
-    place = F.col(position) - F.lit(1)
-    own = F.floor(place / F.lit(slice_rows))
-    carried = F.when(F.pmod(place, F.lit(slice_rows)) >= slice_rows - rows_back, own + F.lit(1))
-    copies = F.explode(
-        F.filter(
-            F.array(
-                F.struct(own.alias("slice"), F.lit(False).alias("context")),
-                F.struct(carried.alias("slice"), F.lit(True).alias("context")),
-            ),
-            lambda copy: copy["slice"].isNotNull(),
-        )
-    )
-    sliced = df.withColumn("_copy", copies)
-    window = Window.partitionBy(*keys, F.col("_copy.slice")).orderBy(position)
-    made = sliced.select("*", *[build(window).alias(name) for name, build in columns.items()])
-    return made.filter(~F.col("_copy.context")).drop("_copy")
-
-
 def trailing_totals(
     per_second: DataFrame, keys: Sequence[str], ts: str, measures: Sequence[str], seconds: int
 ) -> DataFrame:

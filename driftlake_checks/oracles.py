@@ -646,6 +646,11 @@ _SEVERITY = (
     + " ELSE CASE status WHEN 'ok' THEN 'green' WHEN 'warn' THEN 'orange' WHEN 'skip' THEN 'grey' ELSE 'red' END END"
 )
 SELECTS["telemetry_severities"] = f"SELECT seq, check_name, {_SEVERITY} AS severity FROM metric_history"
+SELECTS["telemetry_zone_table"] = (
+    "SELECT seq, check_name, CASE check_name "
+    + " ".join(f"WHEN '{name}' THEN {_zone_case(zones)}" for name, zones in _ZONES.items())
+    + " ELSE 'grey' END AS severity FROM metric_history"
+)
 SELECTS["telemetry_worst_severity"] = f"""
 SELECT ts // 60 AS minute, check_name,
   ['grey', 'green', 'yellow', 'orange', 'red'][max(list_position(['grey', 'green', 'yellow', 'orange', 'red'], {_SEVERITY}))]

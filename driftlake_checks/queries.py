@@ -15,6 +15,7 @@ from driftlake.functions import records, severity
 from driftlake.functions import sentiment as text
 from driftlake.functions.clock import ago, bucket_start, micros_to_timestamp
 from driftlake.operators import core, maintenance, quality, sentiment, staging, telemetry
+from driftlake.operators.zones import zone_severities, zone_table
 from driftlake.plans import marts, panels
 from driftlake.schemas import BATCH, FOLLOW, KINDS, QUARANTINE, RAW_EVENTS, ROUTES, TABLES
 from driftlake.session import scratch_path
@@ -625,6 +626,13 @@ def _(tables):
     return telemetry.severities(_renamed(tables)).select("seq", "check_name", "severity")
 
 
+@query("telemetry_zone_table")
+def _(tables):
+    """Severities by zone from a table of zones; checks without zones are grey."""
+    rated = zone_severities(_renamed(tables), zone_table(tables.spark, telemetry.ZONES))
+    return rated.select("seq", "check_name", "severity")
+
+
 @query("telemetry_worst_severity")
 def _(tables):
     rated = telemetry.severities(_renamed(tables)).withColumn("minute", F.expr("ts div 60"))
@@ -862,12 +870,12 @@ def _(tables):
 
 @query("maintenance_compact_routed")
 def _(tables):
-    """The likes table after a micro-batch of the router for each raw file: same rows in fewer files."""
+    """The likes table after some micro-batches of the router: same rows in fewer files."""
     config = _stream_config(tables, files=3)
     _drain(layers.start_raw(tables.spark, config))
     lake = Lake(tables.spark, config.lake_root)
     layers.start_router(
-        tables.spark, lake.stream("raw_events", 1), lake, f"{config.checkpoints}/router", availableNow=True
+        tables.spark, lake.stream("raw_events", 6), lake, f"{config.checkpoints}/router", availableNow=True
     ).awaitTermination()
     return _compacted(lake, "stg_likes").select("did", "time_us", "event_time", "rkey", "operation", "fewer_files")
 

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from driftlake.operators.positions import running_totals, trailing_totals, with_lookback, with_position
+from driftlake.operators.positions import running_totals, trailing_totals
 from conftest import at
 from datetime import timedelta
 
@@ -17,57 +17,6 @@ def skewed(spark, rows=3000, seed=7):
     return data, spark.createDataFrame(data, "k string, ts long, seq long, v int").repartition(7)
 
 
-def test_positions_are_the_exact_order(spark):
-    data, df = skewed(spark)
-    expected = {}
-    for key in {row[0] for row in data}:
-        for place, row in enumerate(sorted((r[1], r[2]) for r in data if r[0] == key), 1):
-            expected[row[1]] = place
-    for partitions in (None, 5):
-        placed = with_position(df, ["k"], ["ts", "seq"], partitions=partitions)
-        assert {row.seq: row.position for row in placed.collect()} == expected
-
-
-def test_positions_of_null_keys_and_empty_tables(spark):
-    df = spark.createDataFrame([(None, 2), (None, 1), ("a", 1)], "k string, ts long")
-    assert sorted((r.k or "", r.ts, r.position) for r in with_position(df, ["k"], ["ts"]).collect()) == [
-        ("", 1, 1), ("", 2, 2), ("a", 1, 1),
-    ]
-    assert with_position(df.limit(0), ["k"], ["ts"]).count() == 0
-
-
-def test_a_large_key_spreads_over_partitions(spark):
-    _, df = skewed(spark)
-    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "64"}
-    before = {key: spark.conf.get(key) for key in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        placed = with_position(df, ["k"], ["ts", "seq"], partitions=16)
-        sizes = [row["count"] for row in placed.groupBy(F.spark_partition_id().alias("p")).count().collect()]
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
-    assert max(sizes) < 3000 * 0.3
-
-
-def test_lookback_equals_a_whole_window(spark):
-    data, df = skewed(spark)
-    placed = with_position(df, ["k"], ["ts", "seq"])
-    got = with_lookback(
-        placed, ["k"], {"s": lambda w: F.sum("v").over(w.rowsBetween(-3, 0)), "l": lambda w: F.lag("v", 3).over(w)}, 3,
-        slice_rows=10,
-    )
-    values = {row.seq: (row.s, row.l) for row in got.collect()}
-    assert len(values) == len(data)
-    for key in {row[0] for row in data}:
-        ordered = sorted((r for r in data if r[0] == key), key=lambda r: (r[1], r[2]))
-        for place, row in enumerate(ordered):
-            window = [r[3] for r in ordered[max(0, place - 3): place + 1]]
-            lagged = ordered[place - 3][3] if place >= 3 else None
-            assert values[row[2]] == (sum(window), lagged)
-
-
 def test_trailing_totals_equal_brute_force(spark):
     data, df = skewed(spark)
     seconds = df.groupBy("k", "ts").agg(F.sum("v").alias("v"), F.count("*").alias("n"))
