@@ -46,7 +46,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` (null included) is in ``ids``, columns unchanged."""
-    chosen = ids.select(F.col("doc_id").alias("_chosen")).distinct()
+    chosen = ids.select(F.col("doc_id").alias("_chosen")).distinct().hint("merge")  # the same join at any size
     return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_chosen"]), "left_semi")
 
 
