@@ -12,12 +12,13 @@ instead, of which none can have more than 2 ** 12.
 least ``SIMILAR``.  Fingerprints of ``WIDE`` bits and blocks of sixteen bits only find
 candidates; the shingles of both texts decide.  So many bits differ at 0.8 that no split
 guarantees a shared block; at 0.8 a pair shares one of the sixty with probability 0.99, at
-0.9 with 0.99999, and groups are joined through any member.  Candidates come twice: first a
-forest of close pairs within each key, whose similar pairs make groups; then every sifted
-pair of a key that is in different groups.  So no pair is left out for another one that
-turns out not to be similar, and a group of many copies does not make pairs of all.  A key
-with over ``MOST`` sets of shingles is dealt into parts by a hash; the forest is of each
-part (other keys deal the same texts otherwise), and then all parts meet two by two.
+0.9 with 0.99999, and groups are joined through any member.  Rows of a key are sifted by a
+part of their bits; those that have a partner, few of all, carry their whole fingerprints on.
+Their candidates come twice: first a forest of the closest pairs within each key, whose
+similar pairs make groups; then every candidate in different groups, once, from the first block it shares.
+So no pair is left out for another one that turns out not to be similar, and a group of many
+copies does not make pairs of all.  A key with over ``MOST`` sets of shingles is dealt into
+parts by a hash, and all parts meet two by two.
 
 Copies share a fingerprint (in ``near_groups``, a set of shingles) and are folded before
 blocks are made.
@@ -48,13 +49,13 @@ BLOCKS, FINE_BLOCKS = 6, 16
 MOST = 4096
 #: Groups up to this size are compared in one sweep over a batch.
 SMALL = 48
-#: Bits of a wide fingerprint, those kept apart to sift pairs, and the most that may differ there.
-WIDE, SIFT, SIFT_RADIUS = 1024, 64, 21
-#: Bits that sift pairs of different groups, and the most that may differ in the first 64 and in all.
+#: Bits of a wide fingerprint, and how many at its start are not in a block.
+WIDE, SIFT = 1024, 64
+#: Bits that sift the rows of a key, and the most that may differ in the first 64 and in all.
 FULL_SIFT, FIRST_RADIUS, FULL_RADIUS = 192, 24, 55
 #: Words of a shingle, least similarity, and the share of bits that may differ in a candidate:
-#: at 0.8 0.151 differ on average, 0.011 more or less.
-WORDS, SIMILAR, WIDE_RADIUS = 5, 0.8, 0.2
+#: at 0.8 0.151 differ on average, 0.011 more or less, so one in five hundred such pairs is missed.
+WORDS, SIMILAR, WIDE_RADIUS = 5, 0.8, 0.184
 
 
 # -- fingerprints ----------------------------------------------------------------------
@@ -244,50 +245,121 @@ def _within_keys(keyed: DataFrame, radius: int, most: int) -> DataFrame:
     )
 
 
-def _pairs_between(batches):
-    """Rows ``group, side, root, id, s0, s1, s2`` sorted by group to all sifted pairs ``a, b`` of different roots.
+def _whole_groups(batches):
+    """The columns of whole groups, from batches sorted by their first column."""
+    held = None
+    for batch in batches:
+        columns = [
+            np.frombuffer(b"".join(x.to_pylist()), np.uint64).reshape(len(x), -1) if pa.types.is_binary(x.type) else x.to_numpy()
+            for x in batch.columns
+        ]
+        if held is not None:
+            columns = [np.concatenate(pair) for pair in zip(held, columns)]
+        if not len(columns[0]):
+            continue
+        last = int(np.argmax(columns[0] == columns[0][-1]))
+        if last:
+            yield [x[:last] for x in columns]
+        held = [x[last:] for x in columns]
+    if held is not None:
+        yield held
+
+
+def _members(batches):
+    """Rows ``group, side, block, id, s0, s1, s2`` sorted by group to the first four of those with a sifted partner.
 
     Rows of side 0 meet all of their group, those of sides 1 and 2 only each other.
     """
-
-    def found(columns):
-        group, side, root, ids, *sift = columns
+    for group, side, block, ids, *sift in _whole_groups(batches):
         sift = [x.view(np.uint64) for x in sift]
         begin = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
         size = np.diff(np.append(begin, len(group)))
         at, ends = np.arange(len(group)), np.repeat(begin + size, size)
-        step, kept, n = 1, [], 0
+        step, found = 1, np.zeros(len(group), bool)
         while len(at):
             inside = at + step < ends
             at, ends = at[inside], ends[inside]
-            a = at[(root[at] != root[at + step]) & ((side[at] == 0) | (side[at] != side[at + step]))]
+            a = at[(side[at] == 0) | (side[at] != side[at + step])]
             apart = np.bitwise_count(sift[0][a] ^ sift[0][a + step]).astype(np.int64)
             a, apart = a[apart <= FIRST_RADIUS], apart[apart <= FIRST_RADIUS]
             for x in sift[1:]:
                 apart += np.bitwise_count(x[a] ^ x[a + step])
             a = a[apart <= FULL_RADIUS]
-            if len(a):
-                kept.append(np.sort(np.stack([ids[a], ids[a + step]]), axis=0))
-                n += len(a)
+            found[a] = found[a + step] = True
             step += 1
-            if n > 1 << 16 or (n and not len(at)):
-                both = np.concatenate(kept, axis=1)
-                yield pa.record_batch([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
-                kept, n = [], 0
+        kept = [pa.array(x[found]) for x in (group, side, block, ids)]
+        yield pa.record_batch(kept, names=["group", "side", "block", "id"])
 
-    held = None
-    for batch in batches:
-        columns = [batch.column(i).to_numpy() for i in range(batch.num_columns)]
-        if held is not None:
-            columns = [np.concatenate(pair) for pair in zip(held, columns)]
-        if not len(columns[0]):
-            continue
-        last = int(np.argmax(columns[0] == columns[0][-1]))
-        if last:
-            yield from found([x[:last] for x in columns])
-        held = [x[last:] for x in columns]
-    if held is not None:
-        yield from found(held)
+
+def _candidate(prints: np.ndarray, n: np.ndarray, x: int, others: np.ndarray, similar: float) -> np.ndarray:
+    """Bits in which ``others`` differ from ``x``; all of them where the sizes rule similarity out."""
+    apart = np.bitwise_count(prints[others] ^ prints[x]).sum(axis=1).astype(np.int64)
+    apart[np.minimum(n[others], n[x]) < similar * np.maximum(n[others], n[x]) - 1e-9] = WIDE
+    return apart
+
+
+def _groups_of(columns: list[np.ndarray]):
+    begin = np.flatnonzero(np.append(True, columns[0][1:] != columns[0][:-1]))
+    for low, high in zip(begin, [*begin[1:], len(columns[0])]):
+        yield [x[low:high] for x in columns]
+
+
+def _pair_batch(a: list, b: list) -> pa.RecordBatch:
+    both = np.sort(np.stack([np.concatenate(a), np.concatenate(b)]), axis=0) if a else np.empty((2, 0), np.int64)
+    return pa.record_batch([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+
+
+def _closest(similar: float):
+    """Rows ``group, id, n, print`` sorted by group to the edges of a forest of candidates, closest first."""
+
+    def run(batches):
+        for columns in _whole_groups(batches):
+            a, b = [], []
+            for _, ids, n, prints in _groups_of(columns):
+                left = np.arange(1, len(ids))
+                nearest, apart = np.zeros(len(left), np.int64), _candidate(prints, n, 0, left, similar)
+                while len(left):
+                    k = int(apart.argmin())
+                    x = int(left[k])
+                    if apart[k] <= WIDE_RADIUS * WIDE:
+                        a.append(ids[[nearest[k]]])
+                        b.append(ids[[x]])
+                    keep = np.arange(len(left)) != k
+                    left, nearest, apart = left[keep], nearest[keep], apart[keep]
+                    new = _candidate(prints, n, x, left, similar)
+                    closer = new < apart
+                    apart[closer], nearest[closer] = new[closer], x
+            yield _pair_batch(a, b)
+
+    return run
+
+
+def _between(similar: float):
+    """Rows ``group, side, block, root, id, n, print`` sorted by group to all candidates of different roots.
+
+    A pair comes from the first block it shares, so it comes once.
+    """
+
+    def run(batches):
+        for columns in _whole_groups(batches):
+            a, b, held = [], [], 0
+            for _, side, block, root, ids, n, prints in _groups_of(columns):
+                blocks = np.ascontiguousarray(prints).view(np.uint8).view(np.uint16)[:, SIFT // 16 :]
+                for x in range(len(ids) - 1):
+                    met = (side[x + 1 :] == 0) | (side[x + 1 :] != side[x])
+                    others = x + 1 + np.flatnonzero(met & (root[x + 1 :] != root[x]))
+                    others = others[_candidate(prints, n, x, others, similar) <= WIDE_RADIUS * WIDE]
+                    others = others[(blocks[others] == blocks[x]).argmax(axis=1) == block[x]]
+                    if len(others):
+                        a.append(np.repeat(ids[x], len(others)))
+                        b.append(ids[others])
+                        held += len(others)
+                    if held > 1 << 16:
+                        yield _pair_batch(a, b)
+                        a, b, held = [], [], 0
+            yield _pair_batch(a, b)
+
+    return run
 
 
 def _choices(blocks: int, radius: int) -> list[int]:
@@ -347,18 +419,22 @@ def _set_id(shingle_set: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(shingle_set.tobytes())).view(np.int64))
 
 
-def _similar(pairs: DataFrame, single: DataFrame, docs: DataFrame, words: int, similar: float) -> DataFrame:
-    """The ``pairs`` (``a, b`` of ids) whose fingerprints are near and whose sets are similar, by their shingles."""
-
-    def far(a: pd.Series, b: pd.Series) -> pd.Series:
-        left = np.frombuffer(b"".join(a), np.uint64).reshape(-1, WIDE // 64)
-        right = np.frombuffer(b"".join(b), np.uint64).reshape(-1, WIDE // 64)
-        return pd.Series(np.bitwise_count(left ^ right).sum(axis=1).astype("int64"))
+def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """``id, set`` of the texts whose hash is in ``wanted``: their shingles, read once for all that follows."""
 
     def sets(texts: pd.Series) -> pd.DataFrame:
         found = [shingles(text, words) for text in texts]
         return pd.DataFrame({"id": [_set_id(x) for x in found], "set": [x.tobytes() for x in found]})
 
+    text = docs.select(whole("text").alias("text")).withColumn("own", F.xxhash64("text"))
+    chosen = text.join(wanted.hint("merge"), "own", "left_semi").dropDuplicates(["own"])
+    made = chosen.select(F.pandas_udf(sets, "id long, set binary")("text").alias("s"))
+    return written(made.select("s.id", "s.set"), "wide-sets")
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """The ``pairs`` (``a, b`` of ids) whose sets are similar, by their shingles."""
+
     def enough(a: pd.Series, b: pd.Series) -> pd.Series:
         done = []
         for x, y in zip(a, b):
@@ -367,28 +443,8 @@ def _similar(pairs: DataFrame, single: DataFrame, docs: DataFrame, words: int, s
             done.append(common >= similar * (len(x) + len(y) - common) - 1e-9)
         return pd.Series(done, dtype="bool")
 
-    def sides(columns: list[str]) -> list[DataFrame]:
-        return [single.select(F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in columns]) for x in "ab"]
-
-    left, right = sides(["n", "own", "print"])
-    near = (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .filter(F.least("n_a", "n_b") >= similar * F.greatest("n_a", "n_b") - 1e-9)
-        .filter(F.pandas_udf(far, "long")("print_a", "print_b") <= int(WIDE_RADIUS * WIDE))
-    )
-    near = written(near.select("a", "b", "own_a", "own_b"), "wide-near")
-    wanted = near.select(F.col("own_a").alias("own")).union(near.select("own_b")).distinct()
-    text = docs.select(whole("text").alias("text")).withColumn("own", F.xxhash64("text"))
-    found = written(
-        text.join(wanted, "own", "left_semi")
-        .dropDuplicates(["own"])
-        .select(F.pandas_udf(sets, "id long, set binary")("text").alias("s"))
-        .select("s.id", "s.set"),
-        "wide-sets",
-    )
-    left, right = (found.select(F.col("id").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
-    both = near.select("a", "b").join(left, "a").join(right, "b")
+    left, right = (sets.select(F.col("id").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
+    both = written(pairs.distinct(), "wide-pairs").join(left, "a").join(right, "b")
     return written(both.filter(F.pandas_udf(enough, "boolean")("set_a", "set_b")).select("a", "b"), "wide-links")
 
 
@@ -429,28 +485,28 @@ def near_groups(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) -
     def group(*parts) -> Column:
         return F.when(F.col("parts").isNull(), F.col("key")).otherwise(F.xxhash64("key", *parts))
 
-    keyed = dealt(keys.select(F.explode("keys").alias("key"), "s0", "id"))
-    keyed = keyed.select(group("part").alias("key"), F.col("s0").alias("print"), "id")
-    pairs = _within_keys(keyed, SIFT_RADIUS, 2 * MOST).filter("a IS NOT NULL")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    first = _similar(written(pairs.distinct(), "wide-pairs"), single, docs, words, similar)
-    roots = components(first)
-    grouped = keys.join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id"))
+    def by_group(frame: DataFrame) -> DataFrame:
+        return frame.repartition(width(docs.sparkSession), "group").sortWithinPartitions("group")
+
     other = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
-    keyed = dealt(grouped.select(F.explode("keys").alias("key"), "root", "id", "s0", "s1", "s2"))
+    keyed = dealt(keys.select("id", "s0", "s1", "s2", F.posexplode("keys").alias("block", "key")))
     low, high = F.least("part", "other"), F.greatest("part", "other")
     keyed = keyed.withColumn("other", F.explode(other)).select(
         group(low, high).alias("group"),
         F.when(low == high, 0).when(F.col("part") == low, 1).otherwise(2).alias("side"),
-        "root", "id", "s0", "s1", "s2",
+        "block", "id", "s0", "s1", "s2",
     )
-    pairs = (
-        keyed.repartition(width(docs.sparkSession), "group")
-        .sortWithinPartitions("group")
-        .mapInArrow(_pairs_between, "a long, b long")
-    )
-    second = _similar(written(pairs.distinct(), "wide-rest"), single, docs, words, similar)
-    links = first.unionByName(second)
+    members = written(by_group(keyed).mapInArrow(_members, "group long, side int, block int, id long"), "wide-members")
+    # Few rows have a partner; they alone carry their fingerprints and sets on.
+    partners = written(single.join(members.select("id").distinct(), "id", "left_semi"), "wide-partners")
+    members = members.join(partners.drop("own"), "id")
+    sets = _sets(docs, partners.select("own"), words)
+    closest = by_group(members.select("group", "id", "n", "print")).mapInArrow(_closest(similar), "a long, b long")
+    first = _similar(closest, sets, similar)
+    rooted = members.join(components(first).withColumnRenamed("node", "id"), "id", "left")
+    rooted = rooted.select("group", "side", "block", F.coalesce("root", "id").alias("root"), "id", "n", "print")
+    rest = by_group(rooted).mapInArrow(_between(similar), "a long, b long")
+    links = first.unionByName(_similar(rest, sets, similar))
     return _grouped(rows.select("doc_id", "id"), links).select("doc_id", "component_id")
 
 
