@@ -5,10 +5,11 @@ of a shorter item).  A document is contaminated by an item if some window of as
 as the item has (the whole document if it is shorter) has at least ``SIMILAR`` of its
 shingles in common with it: the sum of the smaller counts over the sum of the larger.
 
-1. Seeds.  Every word that a similar window lacks costs it one of the item's shingles, so
-   it lacks at most a fifth as many words as the item has shingles.  The longest words of
-   an item (half of them, or a fifth and ``SEEDS`` more) are looked up in the documents;
-   windows that have all of them but a fifth are looked at further, no others can match.
+1. Seeds.  Every pair of neighbouring words that a similar window lacks costs it one of the
+   item's shingles, so it lacks at most a fifth as many pairs as the item has shingles.  The longest
+   pairs of an item (a fifth of its shingles, and ``SEEDS`` more) are looked up in the documents;
+   windows that have ``SEEDS`` of them are looked at further, no others can match.  (Items of
+   one word: that word.)  Pairs are far rarer than words, so few rows leave the first pass.
 2. SimHash.  Windows and items of one length get 64-bit fingerprints, split into
    ``RADIUS + 1`` blocks.  Any two within ``RADIUS`` bits share a block; they are joined on
    blocks and their Hamming distance is taken.  At the least similarity ten bits differ on
@@ -34,7 +35,7 @@ from pyspark.sql.window import Window
 from driftlake.llm.common import given, whole, written
 
 #: Words of a shingle, least similarity, seeds a window must have, and bits that may differ.
-WORDS, SIMILAR, SEEDS, RADIUS = 5, 0.8, 3, 23
+WORDS, SIMILAR, SEEDS, RADIUS = 5, 0.8, 4, 23
 
 _SEPARATORS = r"[^\p{L}\p{N}]+"
 #: Bits that are set in over half of a window's hashes.
@@ -57,6 +58,15 @@ def shingles_of(words: str, size: int) -> Column:
     return F.transform(whole_runs, lambda run: F.xxhash64(*[run.getField(str(j)) for j in range(size)]))
 
 
+def _runs(words: str, size: int, measure) -> Column:
+    """The sum of ``measure`` over each run of ``size`` words."""
+    parts = [F.transform(F.slice(F.col(words), j + 1, F.greatest(F.size(words) - size + 1, F.lit(0))), measure) for j in range(size)]
+    total = parts[0]
+    for part in parts[1:]:
+        total = F.zip_with(total, part, lambda a, b: a + b)
+    return total
+
+
 def _sizes(items: DataFrame) -> list[int]:
     """The sizes of shingles in use: ``WORDS``, and the lengths of items shorter than it."""
     short = items.select(F.least(F.size("words"), F.lit(WORDS)).alias("size")).distinct().collect()
@@ -103,27 +113,30 @@ def _blocks(prints: DataFrame) -> DataFrame:
 def _seeded_windows(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     """``doc_id, own, length, start, shingles`` of the windows with enough seeds of some item."""
     least_lost = F.floor(F.size("shingles") * (1 - SIMILAR) + 1e-9).cast("int")
+    pair = min(size, 2)
     longest = F.array_sort(
-        F.transform(F.array_distinct("words"), lambda word: F.struct(-F.length(word), word.alias("word")))
+        F.transform(
+            F.array_distinct(F.arrays_zip(_runs("words", pair, F.length), shingles_of("words", pair))),
+            lambda run: F.struct(-run["0"], run["1"].alias("seed")),
+        )
     )
-    wanted = F.greatest(F.ceil(F.size(F.array_distinct("words")) / 2).cast("int"), F.col("lost") + SEEDS)
     seeds = (
         items.filter(F.col("size") == size)
         .withColumn("lost", least_lost)
-        .select("item", "length", "lost", F.slice(longest, F.lit(1), wanted).alias("chosen"))
+        .select("item", "length", "lost", F.slice(longest, F.lit(1), F.col("lost") + SEEDS).alias("chosen"))
         .select(
             "item", "length",
             F.greatest(F.size("chosen") - F.col("lost"), F.lit(1)).alias("needed"),
-            F.explode(F.transform("chosen", lambda x: F.xxhash64(x["word"]))).alias("seed"),
+            F.explode(F.transform("chosen", lambda x: x["seed"])).alias("seed"),
         )
     )
     seeds = written(seeds, "benchmark-seeds")
     named = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("own"))
     found = named.select("own", words_of(whole("text")).alias("words")).select(
-        "own", F.size("words").alias("n_words"), F.posexplode("words").alias("at", "word")
+        "own", F.size("words").alias("n_words"), F.posexplode(shingles_of("words", pair)).alias("at", "run")
     )
     hits = (
-        found.join(seeds, F.xxhash64("word") == seeds["seed"])
+        found.join(seeds, F.col("run") == seeds["seed"])
         .groupBy("own", "item", "length", "needed", "n_words", "at")
         .agg(F.count("*").alias("rows"))
         .withColumn("place", F.row_number().over(Window.partitionBy("own", "item").orderBy("at")))
@@ -206,7 +219,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, columns unchanged."""
     found = contaminations(docs, benchmark).select(F.col("doc_id").alias("_leaked")).distinct()
     found = written(found, "contaminated")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_leaked"]), "left_anti")
+    return docs.join(found.hint("merge"), docs["doc_id"].eqNullSafe(found["_leaked"]), "left_anti")
 
 
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
