@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,10 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Scratch tables written so far, oldest first.
+_WRITTEN: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as files in the shared folder, read back.
 
@@ -40,6 +45,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     to the planner before it chooses a join.
     """
     path = scratch_path(df.sparkSession, name)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -50,6 +56,20 @@ def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_chosen"]), "left_semi")
 
 
+def scratch_mark() -> int:
+    """Where the scratch tables of what follows begin."""
+    return len(_WRITTEN)
+
+
+def release(spark: SparkSession, mark: int, keep: DataFrame) -> None:
+    """Delete the scratch tables written since ``mark``, but the one that ``keep`` (of ``written``) reads."""
+    kept = {os.path.basename(os.path.dirname(path)) for path in keep.inputFiles()}
+    for path in _WRITTEN[mark:]:
+        if os.path.basename(path) not in kept:
+            forget(spark, path)
+    del _WRITTEN[mark:]
+
+
 def forget(spark: SparkSession, path: str) -> None:
     """Delete a scratch table that nothing reads any more."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

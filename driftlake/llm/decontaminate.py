@@ -10,9 +10,9 @@ shingles in common with it: the sum of the smaller counts over the sum of the la
    pairs of an item (a fifth of its shingles, and ``SEEDS`` more) are looked up in the documents;
    windows that have ``SEEDS`` of them are looked at further, no others can match.  (Items of
    one word: that word.)  Pairs are far rarer than words, so few rows leave the first pass.
-2. SimHash.  Windows and items of one length get 64-bit fingerprints, split into
-   ``RADIUS + 1`` blocks.  Any two within ``RADIUS`` bits share a block; they are joined on
-   blocks and their Hamming distance is taken.  At the least similarity ten bits differ on
+2. SimHash.  Windows and items get 64-bit fingerprints, split into ``RADIUS + 1`` blocks.
+   Any two within ``RADIUS`` bits share a block; a window is joined on blocks with the items it has
+   seeds of, and their Hamming distance is taken.  At the least similarity ten bits differ on
    average, three more or less; the radius leaves out about one such pair in a million.
 3. Candidates are verified by their exact similarity.
 
@@ -106,12 +106,12 @@ def _blocks(prints: DataFrame) -> DataFrame:
     masks = [mask - (1 << 64) if mask >> 63 else mask for mask in masks]
     choices = F.array(*[F.struct(F.lit(i).alias("n"), F.lit(mask).alias("mask")) for i, mask in enumerate(masks)])
     return prints.withColumn("choice", F.explode(choices)).select(
-        "length", "print", F.col("choice.n").alias("n"), F.col("print").bitwiseAND(F.col("choice.mask")).alias("bits")
+        "item", "print", F.col("choice.n").alias("n"), F.col("print").bitwiseAND(F.col("choice.mask")).alias("bits")
     )
 
 
 def _seeded_windows(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
-    """``doc_id, own, length, start, shingles`` of the windows with enough seeds of some item."""
+    """``doc_id, own, item, length, start, shingles`` of the windows with enough seeds of an item."""
     least_lost = F.floor(F.size("shingles") * (1 - SIMILAR) + 1e-9).cast("int")
     pair = min(size, 2)
     longest = F.array_sort(
@@ -150,24 +150,24 @@ def _seeded_windows(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     spans = hits.join(
         first, (F.col("own") == F.col("f_own")) & (F.col("item") == F.col("f_item")) & (F.col("place") == F.col("f_place"))
     ).select(
-        F.col("own").alias("seeded"), "length",
+        F.col("own").alias("seeded"), "item", "length",
         F.greatest(F.col("at") - F.col("length") + 1, F.lit(0)).alias("low"),
         F.least(F.col("first_at"), F.greatest(F.col("n_words") - F.col("length"), F.lit(0))).alias("high"),
     )
     starts = (
         spans.filter("low <= high")
-        .select("seeded", "length", F.explode(F.sequence("low", "high")).alias("start"))
-        .groupBy("seeded", "length")
+        .select("seeded", "item", "length", F.explode(F.sequence("low", "high")).alias("start"))
+        .groupBy("seeded", "item", "length")
         .agg(F.collect_set("start").alias("starts"))
     )
     starts = written(starts, "seeded-windows").hint("merge")
     return (
         named.join(starts, F.col("own") == F.col("seeded"))
-        .select("doc_id", "own", "length", "starts", words_of(whole("text")).alias("words"))
-        .select("doc_id", "own", "length", "starts", shingles_of("words", size).alias("hashes"))
-        .select("doc_id", "own", "length", "hashes", F.explode("starts").alias("start"))
+        .select("doc_id", "own", "item", "length", "starts", words_of(whole("text")).alias("words"))
+        .select("doc_id", "own", "item", "length", "starts", shingles_of("words", size).alias("hashes"))
+        .select("doc_id", "own", "item", "length", "hashes", F.explode("starts").alias("start"))
         .select(
-            "doc_id", "own", "length", "start",
+            "doc_id", "own", "item", "length", "start",
             F.slice("hashes", F.col("start") + 1, F.col("length") - size + 1).alias("shingles"),
         )
         .filter(F.size("shingles") > 0)
@@ -179,31 +179,33 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = _items(benchmark)
     sizes = [row["size"] for row in items.select("size").distinct().collect() if row["size"]]
     empty = docs.select(
-        F.col("doc_id"), F.lit(0).cast("long").alias("own"), F.lit(0).alias("length"), F.lit(0).alias("start"),
+        F.col("doc_id"), *[F.lit(0).cast("long").alias(name) for name in ("own", "item")],
+        F.lit(0).alias("length"), F.lit(0).alias("start"),
         F.array().cast("array<bigint>").alias("shingles"),
     ).filter(F.lit(False))
     windows = [_seeded_windows(docs, items, size) for size in sizes] or [empty]
     windows = written(_fingerprints(reduce(DataFrame.unionByName, windows)), "window-prints")
     prints = written(_fingerprints(items).withColumnRenamed("print", "item_print"), "item-prints")
 
-    left = _blocks(windows.select("length", "print").distinct())
-    right = _blocks(prints.select("length", F.col("item_print").alias("print")).distinct()).select(
-        F.col("length").alias("r_length"), F.col("print").alias("item_print"), F.col("n").alias("r_n"), F.col("bits").alias("r_bits")
+    # A window meets the items it has seeds of, on the blocks they share.
+    left = _blocks(windows.select("item", "print").distinct())
+    right = _blocks(prints.select("item", F.col("item_print").alias("print"))).select(
+        F.col("item").alias("r_item"), F.col("print").alias("item_print"), F.col("n").alias("r_n"), F.col("bits").alias("r_bits")
     )
     near = (
-        left.join(right, (F.col("n") == F.col("r_n")) & (F.col("bits") == F.col("r_bits")) & (F.col("length") == F.col("r_length")))
+        left.join(right, (F.col("item") == F.col("r_item")) & (F.col("n") == F.col("r_n")) & (F.col("bits") == F.col("r_bits")))
         .filter(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-        .select(F.col("length").alias("n_length"), F.col("print").alias("n_print"), "item_print")
+        .select(F.col("item").alias("n_item"), F.col("print").alias("n_print"))
         .distinct()
     )
     near = written(near, "near-prints")
     counted = F.expr(_COUNTED)
-    theirs = prints.select("item_id", F.col("length").alias("i_length"), "item_print", counted.alias("theirs"))
+    theirs = prints.select("item_id", F.col("item").alias("i_item"), counted.alias("theirs"))
     candidates = (
-        windows.select("doc_id", "length", "start", "print", counted.alias("ours"))
-        .join(near, (F.col("length") == F.col("n_length")) & (F.col("print") == F.col("n_print")))
+        windows.select("doc_id", "item", "start", "print", counted.alias("ours"))
+        .join(near, (F.col("item") == F.col("n_item")) & (F.col("print") == F.col("n_print")))
         .drop("print")
-        .join(theirs.withColumnRenamed("item_print", "t_print"), (F.col("item_print") == F.col("t_print")) & (F.col("length") == F.col("i_length")))
+        .join(theirs, F.col("item") == F.col("i_item"))
     )
     common = F.size(F.array_intersect("ours", "theirs"))
     similarity = common / (F.size("ours") + F.size("theirs") - common)

@@ -39,7 +39,6 @@ UNKNOWN = "und"
 
 #: Bytes that separate words: all ASCII but letters.
 _SEPARATE = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
 _SPACES = re.compile(rb" +")
 
 
@@ -48,6 +47,11 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is of a letter category, as the pattern ``\\p{L}`` has it."""
+    return any(map(str.isalpha, text))
+
+
 def counts(text: str) -> np.ndarray:
     """Hashed counts of the trigrams of a whole text."""
     data = _SPACES.sub(b" ", b" " + text.lower().encode("utf-8", "ignore").translate(_SEPARATE) + b" ")
@@ -89,7 +93,7 @@ class CentroidModel:
             classes = length_class(rows.sum(axis=1))
             far = 1 - near > self.radius[best, classes] if self.languages else np.zeros(len(part), bool)
             for text, b, score, away in zip(part, best, near, far):
-                if not _LETTER.search(text):
+                if not has_letter(text):
                     done.append((UNKNOWN, 0.0, True))
                 else:
                     language = self.languages[b] if self.languages else UNKNOWN
@@ -157,7 +161,7 @@ def _radii(model: CentroidModel, texts: list[str], vectors: np.ndarray, names: n
 
 def fit(labelled: list[tuple[str, str]]) -> CentroidModel:
     """A model from ``(language, text)`` pairs."""
-    labelled = sorted(pair for pair in labelled if _LETTER.search(pair[1]))
+    labelled = sorted(pair for pair in labelled if has_letter(pair[1]))
     if not labelled:
         return CentroidModel(np.ones(DIMENSIONS, np.float32), np.zeros((0, DIMENSIONS)), [], np.zeros((0, 16)))
     rows = np.stack([counts(text) for _, text in labelled])
@@ -181,9 +185,9 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> CentroidModel:
     share = F.lit(0.0)
     for row in sizes:
         share = F.when(F.col("lang") == row["lang"], min(1.0, sample / row["count"])).otherwise(share)
-    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000)) / 1e6
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text"), F.lit(1_000_000)) / 1e6
     most = 2 * sample * len(sizes)  # the hash gives about half of it
-    chosen = usable.filter(place < share).select("lang", "text").limit(most)
+    chosen = usable.filter(place < share).select("lang", "text", place.alias("place")).orderBy("place").limit(most)
     return fit([(row["lang"], row["text"]) for row in chosen.toLocalIterator()])
 
 
