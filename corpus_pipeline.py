@@ -1,7 +1,7 @@
 """From documents to a mixed training corpus, in five stages.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that ``run`` writes as
-Parquet and reads back for the next.  All but the last return the columns of ``docs``.
+Parquet and reads back for the next; the scratch tables of a stage go once it is written.  All but the last return the columns of ``docs``.
 The last adds ``mix_weight``, ``mix_repeats`` (how often the row is read) and ``mix_place``
 (its place in the permutation).  Empty and null texts: language identification drops
 texts without a letter; the other stages define theirs in their operators.
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from driftlake.llm import decontaminate, digest_index, langid, mixing, simhash
-from driftlake.llm.common import given, written
+from driftlake.llm.common import given, release, scratch_mark, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,5 +55,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = given(spark, sf_dir, "documents")
     for name, stage in STAGES:
+        mark = scratch_mark()
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        release(spark, mark, docs)
     return docs
