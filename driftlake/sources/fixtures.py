@@ -126,9 +126,10 @@ def sentiment_stamp() -> Column:
 class FixtureTables(Mapping):
     """Lake tables derived from the test tables in ``folder``; all lazy."""
 
-    def __init__(self, spark: SparkSession, folder: str, facets: str = "pattern"):
+    def __init__(self, spark: SparkSession, folder: str, facets: str = "pattern", times: int = 1):
+        """``times`` takes each given event that often, under numbers of its own, for larger trials."""
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        self.spark, self.folder, self.facets = spark, folder, facets
+        self.spark, self.folder, self.facets, self.times = spark, folder, facets, times
         self._built: dict[str, DataFrame] = {}
 
     def given(self, name: str) -> DataFrame:
@@ -171,7 +172,11 @@ class FixtureTables(Mapping):
     @cached_property
     def events(self) -> DataFrame:
         micros = "unix_micros(cast(ts AS timestamp))"
-        return self.given("events").selectExpr(
+        given = self.given("events")
+        if self.times > 1:
+            copies = F.explode(F.sequence(F.lit(0), F.lit(self.times - 1)))
+            given = given.withColumn("copy", copies).withColumn("event_id", F.expr(f"event_id * {self.times} + copy"))
+        return given.selectExpr(
             "event_id",
             "user_id",
             "event_type",
