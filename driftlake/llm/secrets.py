@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and strings that dictionary-primed zstandard cannot shorten.
 
 The base patterns give the kinds ``assign``, ``access`` and ``hex``.  The method adds the
-kind ``novel``: a token-like string that follows a sensitive word is a candidate, and its
+kind ``novel``: a token-like string (twenty characters or more, of mixed kinds, dots included) that follows a sensitive word is a candidate, and its
 novelty is how many bytes it adds when it is compressed after the text around it, by
 zstandard primed with a dictionary of common identifiers.  Words, paths, identifiers and
 repeated strings cost few bytes for their length; random keys cost most of theirs.
@@ -45,12 +45,16 @@ SENSITIVE = re.compile(
     r"(?:key|secret|token|passw|pwd|auth|bearer|credential|private|signature|salt|cookie|session)", re.IGNORECASE
 )
 REACH = 40
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*\d)[A-Za-z0-9+/_=-]{20,}", re.ASCII)
+SHORTEST_NOVEL = 20
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{20,}", re.ASCII)
+#: Keys mix kinds of characters as words, paths and identifiers do not: letters and digits, or
+#: a capital after a small letter at one in so many characters.
+CAPITAL, CAPITAL_EVERY = re.compile(r"[a-z][A-Z]"), 6
 #: Characters of text on each side that prime the compressor, besides the dictionary.
 AROUND = 2000
-#: A candidate is reported if each of its characters adds at least this many bytes.  Random
-#: base-64 needs 0.75 and random hexadecimal 0.5; words after the dictionary need under 0.4.
-NOVEL = 0.55
+#: A candidate is reported if each of its characters adds at least this many bytes.  So short a
+#: string is hardly entropy-coded: random ones add 0.8 to 1.5, identifiers 0.5 to 0.9.
+NOVEL = 0.8
 
 #: Common identifiers and words of code.
 IDENTIFIERS = (
@@ -98,13 +102,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+def _mixed(candidate: str) -> bool:
+    letters, digits = (any(map(kind, candidate)) for kind in (str.isalpha, str.isdigit))
+    return letters and (digits or len(CAPITAL.findall(candidate)) * CAPITAL_EVERY >= len(candidate))
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Incompressible strings in sensitive surroundings that no base span covers."""
     found = []
     starts = [start for start, _, _ in base]
     reach = list(accumulate((end for _, _, end in base), max))
     for match in CANDIDATE.finditer(text):
-        start, end = match.span()
+        start, end = match.start(), match.start() + len(match[0].rstrip("."))
+        if end - start < SHORTEST_NOVEL or not _mixed(text[start:end]):
+            continue
         before = bisect_left(starts, end)
         if before and reach[before - 1] > start:
             continue

@@ -252,6 +252,17 @@ def test_secrets(docs, none):
     assert secrets.spelled(base) == "assign:2:23,access:25:45,hex:46:62"
     assert secrets.spelled(secrets.novel_spans(text, base)).startswith("novel:68:")
     assert secrets.novel_spans("the key name aaaaaaaaaaaaaaaaaaaaaaaaaaaaa1", []) == []
+    draw = random.Random(31)
+    letters = "".join(draw.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", k=32))
+    dotted = ".".join("".join(draw.choices("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789", k=22)) for _ in range(3))
+    around = " ".join(sentence(draw, 9) for _ in range(20))
+    for key in (letters, dotted):
+        text = f"{around}\nauth signature {key}.\n{around}"
+        assert secrets.novel_spans(text, []) == [(text.index(key), 3, text.index(key) + len(key))]
+    for plain in ("accessTokenRefreshHandler", "refreshTokenExpirationTimestamp", "DEFAULT_SESSION_TIMEOUT_SECONDS", "com/path/to/some/file.html",
+                  "org.springframework.security.core", "Verantwortungsbewusstsein", "password_reset_confirmation_url"):
+        assert secrets.novel_spans(f"{around} the session secret {plain} {around}", []) == []
+    assert all(secrets.novel_spans(f"secret {t or ''}", []) == [] for _, t, *_ in corpus())
     got = {row.doc_id: row.spans for row in secrets.scan_secrets(docs).collect()}
     assert got[0] == "" and secrets.scan_secrets(none).count() == 0
 
