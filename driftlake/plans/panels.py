@@ -71,15 +71,14 @@ def _top_posts(tables: Tables, as_of: Clock, score: str) -> DataFrame:
         return posts.orderBy(*order).limit(5)
 
     winners = ranked(tables).select(*key).distinct()
-    # Their first and last time become scalars in the second scan's pushed filters, their
-    # days prune its partitions.
-    first, last = (winners.agg(end("time_us")).scalar() for end in (F.min, F.max))
+    # The first of their times becomes a scalar in the second scan's pushed filters, and its day
+    # prunes partitions.
+    first = winners.agg(F.min("time_us")).scalar()
 
     def cut(table: DataFrame) -> DataFrame:
-        rows = table.filter(F.col("time_us").between(first, last))
+        rows = table.filter(F.col("time_us") >= first)
         if "event_date" in table.columns:
-            days = [F.to_date(F.timestamp_micros(end)) for end in (first, last)]
-            rows = rows.filter(F.col("event_date").between(*days))
+            rows = rows.filter(F.col("event_date") >= F.to_date(F.timestamp_micros(first)))
         return rows.join(F.broadcast(winners), key, "left_semi")
 
     only_winners = {name: cut(tables[name]) for name in ("core_posts", "core_post_sentiment")}
