@@ -2,7 +2,7 @@
 
 ``land_by_time`` writes event lines into folders of a span of event time each.  The source
 ``landed_events`` reads them: an offset says up to which event time spans were read, and a
-micro-batch takes the spans between two offsets, in one task a file.  Spans are read once they are
+micro-batch takes the spans between two offsets, dealt to tasks by bytes.  Spans are read once they are
 closed, that is once a later span has begun (``drain`` closes the newest as well).
 
 The same two offsets give the same rows whenever they are read: an offset also holds how far
@@ -30,8 +30,8 @@ FORMAT = "landed_events"
 SPAN = "span"
 # How much event time a folder holds.
 SPAN_US = 10_000_000
-# How much of a file a task holds at once.
-BLOCK_BYTES = 1 << 22
+# How much a task holds at once, and how many bytes of files one task reads (a larger file is one task's).
+BLOCK_BYTES, TASK_BYTES = 1 << 22, 1 << 26
 
 
 def land_by_time(lines: DataFrame, path: str, span_us: int = SPAN_US, payload: str = "value") -> None:
@@ -49,8 +49,8 @@ def spans(spark: SparkSession, path: str, since_us: int = 0, until_us: int | Non
 
 
 @dataclass
-class LandedFile(InputPartition):
-    path: str
+class LandedFiles(InputPartition):
+    paths: list[str]
 
 
 class LandedEvents(DataSource):
@@ -74,8 +74,8 @@ class LandedEventsReader(DataSourceStreamReader):
         self.start = int(options.get("start", 0))
         self.drain = options.get("drain", "false").lower() == "true"
 
-    def _files(self) -> list[tuple[int, int, str]]:
-        """``(span, written at, path)`` of every landed file."""
+    def _files(self) -> list[tuple[int, int, str, int]]:
+        """``(span, written at, path, bytes)`` of every landed file."""
         system, root = fs.FileSystem.from_uri(self.path) if "://" in self.path else (fs.LocalFileSystem(), self.path)
         found = []
         for info in system.get_file_info(fs.FileSelector(root, allow_not_found=True, recursive=True)):
@@ -84,11 +84,11 @@ class LandedEventsReader(DataSourceStreamReader):
             if info.type == fs.FileType.File and name[0] not in "._" and folder.startswith(f"{SPAN}="):
                 span = int(folder.removeprefix(f"{SPAN}="))
                 if span >= 0:
-                    found.append((span, info.mtime_ns, info.path))
+                    found.append((span, info.mtime_ns, info.path, info.size))
         return found
 
-    def _offset(self, time_us: int, files: list[tuple[int, int, str]]) -> dict:
-        return {"time_us": time_us, "written_ns": max((at for span, at, _ in files if span < time_us), default=0)}
+    def _offset(self, time_us: int, files: list[tuple[int, int, str, int]]) -> dict:
+        return {"time_us": time_us, "written_ns": max((at for span, at, *_ in files if span < time_us), default=0)}
 
     def initialOffset(self) -> dict:
         return {"time_us": self.start, "written_ns": 0}
@@ -101,24 +101,28 @@ class LandedEventsReader(DataSourceStreamReader):
         end = newest + self.span_us if self.drain else newest
         return self._offset(max(end, self.start), files)
 
-    def partitions(self, start: dict, end: dict) -> list[LandedFile]:
-        first = start["time_us"] - start["time_us"] % self.span_us
-        return [
-            LandedFile(path)
-            for span, at, path in sorted(self._files())
-            if first <= span < end["time_us"] and at <= end["written_ns"]
-        ]
-
-    def read(self, partition: LandedFile) -> Iterator[pa.RecordBatch]:
+    def partitions(self, start: dict, end: dict) -> list[LandedFiles]:
+        first, parts, held = start["time_us"] - start["time_us"] % self.span_us, [], 0
+        for span, at, path, size in sorted(self._files()):
+            if first <= span < end["time_us"] and at <= end["written_ns"]:
+                if not parts or held + size > TASK_BYTES:
+                    parts.append(LandedFiles([]))
+                    held = 0
+                parts[-1].paths.append(path)
+                held += size
+        return parts
+
+    def read(self, partition: LandedFiles) -> Iterator[pa.RecordBatch]:
         system = fs.FileSystem.from_uri(self.path)[0] if "://" in self.path else fs.LocalFileSystem()
-        with system.open_input_stream(partition.path) as stream:
-            rest = b""
-            while block := stream.read(BLOCK_BYTES):
-                *lines, rest = (rest + block).split(b"\n")
-                if lines:
-                    yield self._lines(lines)
-            if rest:
-                yield self._lines([rest])
+        for path in partition.paths:
+            with system.open_input_stream(path) as stream:
+                rest = b""
+                while block := stream.read(BLOCK_BYTES):
+                    *lines, rest = (rest + block).split(b"\n")
+                    if lines:
+                        yield self._lines(lines)
+                if rest:
+                    yield self._lines([rest])
 
     def _lines(self, lines: list[bytes]) -> pa.RecordBatch:
         # Lines need not be whole events, nor valid text.

@@ -61,6 +61,16 @@ def test_a_start_within_a_span_and_odd_lines(spark, tmp_path):
     assert offsets.spans(spark, path, START, START + 20_000_000).count() == 3
 
 
+def test_files_are_dealt_to_tasks_by_bytes(tmp_path, monkeypatch):
+    monkeypatch.setattr(offsets, "TASK_BYTES", 100)
+    for span, size in ((0, 60), (10, 30), (20, 30), (30, 500), (40, 1)):
+        (tmp_path / f"span={span}").mkdir()
+        (tmp_path / f"span={span}" / "part-0.txt").write_bytes(b"x" * size)
+    reader = offsets.LandedEventsReader({"path": str(tmp_path)})
+    parts = reader.partitions({"time_us": 0, "written_ns": 0}, {"time_us": 99, "written_ns": 2**62})
+    assert [[int(path.split("span=")[1].split("/")[0]) for path in part.paths] for part in parts] == [[0, 10], [20], [30], [40]]
+
+
 def test_an_empty_landing_zone(spark, tmp_path):
     (tmp_path / "in").mkdir()
     reader = offsets.LandedEventsReader({"path": str(tmp_path / "in")})
