@@ -4,10 +4,11 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from driftlake.llm import decontaminate, digest_index, langid
+from driftlake.llm import decontaminate, digest_index, langid, simhash
 from driftlake.llm.common import release, scratch_mark, written
 from driftlake.session import scratch_path
 
@@ -45,6 +46,22 @@ def test_of_rows_that_repeat_id_and_text_one_stays(spark):
         once = got
 
 
+@pytest.mark.parametrize(("similarity", "least"), [(0.81, 0.95), (0.85, 0.99)])
+def test_similar_pairs_are_candidates(similarity, least):
+    """Sixty blocks, the sift and the radius together, on sets of shingles of planted similarity."""
+    draw, found = random.Random(24), []
+    for _ in range(200):
+        base = [f"w{draw.randrange(10**6)}" for _ in range(draw.choice([80, 150, 300, 600]))]
+        new = round((len(base) - 4) * (1 - similarity) / (1 + similarity))
+        texts = [" ".join(base), " ".join([*base[: len(base) - new], *(f"n{draw.random()}" for _ in range(new))])]
+        a, b = (np.frombuffer(x, np.uint8) for x in simhash.wide_fingerprints([simhash.shingles(t) for t in texts]))
+        apart = np.bitwise_count(a ^ b)
+        shared = (a.view(np.uint16)[simhash.SIFT // 16 :] == b.view(np.uint16)[simhash.SIFT // 16 :]).any()
+        sifted = apart[:8].sum() <= simhash.FIRST_RADIUS and apart[: simhash.FULL_SIFT // 8].sum() <= simhash.FULL_RADIUS
+        found.append(shared and sifted and apart.sum() <= simhash.WIDE_RADIUS * simhash.WIDE)
+    assert np.mean(found) >= least
+
+
 def plain_contaminations(docs, items):
     """Every window of every document against every item."""
     found = {}
