@@ -25,6 +25,7 @@ from driftlake.operators.telemetry import (
     ROLLING_WINDOW_S,
     TRIGGERS,
 )
+from driftlake.session import SETTINGS
 
 # How late a row may be.
 DELAY = "15 minutes"
@@ -134,6 +135,8 @@ class ActionDecisions(InOrder):
 
 
 def _by_key(rows: DataFrame, processor: InOrder, schema: str, delay: str) -> DataFrame:
+    # Timers and maps are kept by this state store only; a session of one's own may have another.
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", SETTINGS["spark.sql.streaming.stateStore.providerClass"])
     timed = rows.select(processor.key, "ts", *processor.fields, F.timestamp_seconds("ts").alias("_at"))
     return timed.withWatermark("_at", delay).groupBy(processor.key).transformWithStateInPandas(
         processor, schema, "append", "EventTime"

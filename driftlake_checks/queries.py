@@ -275,6 +275,9 @@ def ship_package(spark: SparkSession) -> None:
         shutil.copytree(
             os.path.join(root, part), os.path.join(base, part), ignore=shutil.ignore_patterns("__pycache__")
         )
+    # Processes that plan streams and sources beside the driver start with these paths.
+    paths = spark.sparkContext.environment
+    paths["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths.get("PYTHONPATH")]))
     # The session's own file server hands the archive to the workers.
     spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", base))
     setattr(spark.sparkContext, marker, True)
