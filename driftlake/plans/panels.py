@@ -71,15 +71,15 @@ def _top_posts(tables: Tables, as_of: Clock, score: str) -> DataFrame:
         return posts.orderBy(*order).limit(5)
 
     winners = ranked(tables).select(*key).distinct()
-    # The first of their times becomes a scalar in the second scan's pushed filters, and its day
-    # prunes partitions.
+    # Over day partitions the first of their times becomes a scalar in the second scan's
+    # pushed filters, and its day prunes partitions.
     first = winners.agg(F.min("time_us")).scalar()
 
     def cut(table: DataFrame) -> DataFrame:
-        rows = table.filter(F.col("time_us") >= first)
         if "event_date" in table.columns:
-            rows = rows.filter(F.col("event_date") >= F.to_date(F.timestamp_micros(first)))
-        return rows.join(F.broadcast(winners), key, "left_semi")
+            day = F.to_date(F.timestamp_micros(first))
+            table = table.filter((F.col("time_us") >= first) & (F.col("event_date") >= day))
+        return table.join(F.broadcast(winners), key, "left_semi")
 
     only_winners = {name: cut(tables[name]) for name in ("core_posts", "core_post_sentiment")}
     return ranked(only_winners).select("text", score, "sentiment_label", "primary_lang", "content_type")
