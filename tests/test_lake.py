@@ -229,6 +229,16 @@ def test_file_history_reads_no_column(spark, lake, rows):
     assert "ReadSchema: struct<>" in plan
 
 
+def test_file_history_counts_files_without_rows(spark, tmp_path):
+    path = str(tmp_path / "a b=c%d")
+    for rows in (5, 0):  # a write without rows leaves a file with a footer
+        spark.range(rows).coalesce(1).write.mode("append").parquet(path)
+    listed = maintenance.list_files(spark, path).agg(F.count("path"), F.sum("bytes")).first()
+    history = maintenance.file_history(spark.read.parquet(path))
+    total = history.agg(F.max("total_records"), F.max("total_bytes")).first()
+    assert (listed[0], *total) == (2, 5, listed[1])
+
+
 def test_growth_guards(spark):
     schema = "committed_at timestamp, total_records long, total_bytes long"
     cases = {
