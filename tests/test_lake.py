@@ -239,6 +239,15 @@ def test_file_history_counts_files_without_rows(spark, tmp_path):
     assert (listed[0], *total) == (2, 5, listed[1])
 
 
+def test_small_files_stay_small_whatever_the_table_holds(spark, tmp_path):
+    from driftlake_checks.queries import SMALL_FILE_ROWS, write_small_files
+
+    write_small_files(spark.range(100_000), str(tmp_path / "small"))
+    files = spark.read.parquet(str(tmp_path / "small")).groupBy("_metadata.file_path").count()
+    assert files.agg(F.sum("count"), F.max("count")).first() == (100_000, SMALL_FILE_ROWS)
+    assert files.count() == 400
+
+
 def test_growth_guards(spark):
     schema = "committed_at timestamp, total_records long, total_bytes long"
     cases = {
