@@ -369,3 +369,18 @@ def test_streamed_velocity_has_the_batch_marts_grain(spark, tmp_path, rows):
     got = spark.read.parquet(str(tmp_path / "mart"))
     assert got.columns == batch.columns
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_steps_are_landed_by_the_tasks_that_make_them(spark, tmp_path):
+    from driftlake_checks.queries import _in_steps
+
+    times = spark.range(0, 80, 1, 4).selectExpr("id", "timestamp_seconds(id % 20) AS at")
+    path, before = str(tmp_path / "in"), set()
+    for step, (stream,) in enumerate(_in_steps({path: (times, "at")})):
+        assert stream.isStreaming
+        landed = spark.read.parquet(path).select("id", "_metadata.file_path").collect()
+        fresh = {row.id for row in landed} - before
+        assert {n % 20 for n in fresh} == set(range(step * 5, step * 5 + 5))
+        assert len({row.file_path for row in landed if row.id in fresh}) == 4
+        before |= fresh
+    assert len(landed) == 80
