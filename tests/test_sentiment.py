@@ -102,3 +102,10 @@ def test_model_hook_on_spark(spark, rows):
     assert got.rdd.getNumPartitions() == 1
     assert {row.time_us: row.sentiment_label for row in got.collect()} == {1: "positive", 2: "neutral"}
     assert sentiment.score_with_model(posts.limit(0), lexicon_model((), ()), "t").count() == 0
+
+
+def test_few_devices_shuffle_no_text(spark, rows):
+    posts = rows("core_posts", *[{"time_us": n, "text": "x"} for n in range(20)]).repartition(8).localCheckpoint()
+    got = sentiment.score_with_model(posts, lambda: lambda texts: [{"Neutral": 1.0} for _ in texts], "t", partitions=2)
+    assert got.rdd.getNumPartitions() == 2 and got.count() == 20
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
