@@ -384,3 +384,29 @@ def test_steps_are_landed_by_the_tasks_that_make_them(spark, tmp_path):
         assert len({row.file_path for row in landed if row.id in fresh}) == 4
         before |= fresh
     assert len(landed) == 80
+
+
+def test_landed_files_are_packed_and_bounded(spark, tmp_path, monkeypatch):
+    from driftlake_checks import queries
+
+    monkeypatch.setattr(queries, "LANDED_LINES", 10)
+    lines, path = spark.range(0, 120, 1, 2).selectExpr("cast(id AS string) AS value", "id"), str(tmp_path / "in")
+    queries._land(lines, path, 3)
+    files = spark.read.text(path).groupBy("_metadata.file_name").count().collect()
+    assert all(row.file_name.endswith(".gz") and row["count"] <= 10 for row in files)
+    assert sum(row["count"] for row in files) == spark.read.text(path).distinct().count() == 120
+    assert queries._files_a_step(spark, path, 3) == len(files) // 3
+    monkeypatch.setattr(queries, "BATCH_FILES", 2)
+    assert queries._files_a_step(spark, path, 3) == 2
+
+
+def test_router_keeps_no_rows(spark, tmp_path, config, monkeypatch):
+    first_batch(tmp_path)
+    raw = events.to_raw_events(events.read_events(spark, config.landing))
+    lake = Lake(spark, config.lake_root)
+    for name in staging.STAGING:
+        lake.ensure_table(TABLES[name])
+    monkeypatch.setattr(type(raw), "persist", lambda *_: pytest.fail("rows were kept"))
+    layers.route_batch(lake, raw, 0)
+    files = [f for name in staging.STAGING for f in lake.read(name).inputFiles()]
+    assert files and all(".zstd." in f for f in files)
