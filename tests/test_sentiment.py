@@ -1,6 +1,7 @@
 import re
 
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from driftlake.functions import sentiment as text
 from driftlake.operators import sentiment
 from driftlake.schemas import TABLES
+from driftlake.streaming import layers
 
 
 def prepared(spark, *values):
@@ -109,3 +111,37 @@ def test_few_devices_shuffle_no_text(spark, rows):
     got = sentiment.score_with_model(posts, lambda: lambda texts: [{"Neutral": 1.0} for _ in texts], "t", partitions=2)
     assert got.rdd.getNumPartitions() == 2 and got.count() == 20
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("n", [0, 30, 90])
+def test_rounds_stay_as_large_while_the_table_grows(spark, rows, tmp_path, n):
+    def scorer(posts):
+        scored = sentiment.score_with_model(
+            posts, lambda: lambda texts: [{"Neutral": 1.0} for _ in texts], "t", partitions=2
+        )
+        return scored.withColumn("task", F.spark_partition_id())
+
+    posts = rows("core_posts", {"time_us": -1}, *[{"time_us": k, "text": "x"} for k in range(n)])
+    posts = posts.filter("time_us >= 0").repartition(3)
+    running = layers.start_rounds(posts, scorer, 2, str(tmp_path), rows=4, files=2)
+    running.awaitTermination()
+    assert max((progress.numInputRows for progress in running.recentProgress), default=0) <= 2 * 2 * 4
+    scored = spark.read.parquet(str(tmp_path / "scored")).collect()
+    assert sorted(row.time_us for row in scored) == list(range(n)) and {row.task for row in scored} <= {0, 1}
+
+
+def test_devices_score_in_rounds(spark, monkeypatch):
+    from driftlake_checks.queries import REGISTRY
+
+    start, started, folder = layers.start_rounds, [], "/root/testdata/sf0.001"
+
+    def small(*given):
+        started.append(start(*given, rows=10, files=1))
+        return started[-1]
+
+    monkeypatch.setattr(layers, "start_rounds", small)
+    got = REGISTRY["score_with_model_on_devices"](spark, folder).collect()
+    whole = REGISTRY["score_with_model"](spark, folder).groupBy("sentiment_label").count().collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, whole))
+    sizes = [progress.numInputRows for progress in started[0].recentProgress]
+    assert max(sizes) <= 40 < sum(sizes) == sum(row["count"] for row in whole)
